@@ -1,0 +1 @@
+"""Empty on purpose: every workflow this engine covers is a batch job."""
