@@ -47,17 +47,11 @@ def annotate_entities(
     document from its own matches.
     """
     words = df.select(row_id, words_of(F.col(col)).alias("_w")).filter(F.size("_w") > 0)
-    spans = F.flatten(
-        F.array(
-            *[
-                F.transform(
-                    ngrams(F.col("_w"), n, n),
-                    lambda g, i, n=n: F.struct(i.alias("pos"), F.lit(n).alias("len"), g.alias("word")),
-                )
-                for n in range(1, max_words + 1)
-            ]
-        )
-    )
+    def of_size(n: int) -> Column:
+        spans = lambda g, i: F.struct(i.alias("pos"), F.lit(n).alias("len"), g.alias("word"))
+        return F.transform(ngrams(F.col("_w"), n, n), spans)
+
+    spans = F.concat(*[of_size(n) for n in range(1, max_words + 1)])
     grams = words.select(row_id, F.explode(spans).alias("_s")).select(row_id, "_s.*", F.lower("_s.word").alias("phrase"))
     # One label per phrase, and the size check for sending the table around.
     table = gazetteer.groupBy("phrase").agg(F.min("label").alias("label"))

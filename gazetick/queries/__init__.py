@@ -1,0 +1,4 @@
+"""All registered queries."""
+
+from gazetick.queries import table_queries, text_queries  # noqa: F401
+from gazetick.queries.registry import QUERIES, SQL  # noqa: F401

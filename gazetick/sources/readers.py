@@ -65,8 +65,11 @@ def read_feed(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
-def read_bars(spark: SparkSession, path: str | list[str], symbol: str) -> DataFrame:
-    """Range responses with a ``results`` array each; a response without one adds no rows."""
+def read_bars(spark: SparkSession, path: str | list[str], symbol: str, lines: bool = False) -> DataFrame:
+    """Range responses with a ``results`` array each; a response without one adds no rows.
+
+    A file holds one response, or with ``lines`` one response per line.
+    """
     body = T.StructType([T.StructField("results", T.ArrayType(BAR_RESULT))])
-    raw = spark.read.json(path, schema=body, multiLine=True)
+    raw = spark.read.json(path, schema=body, multiLine=not lines)
     return raw.select(F.lit(symbol).alias("symbol"), F.explode("results").alias("r")).select("symbol", "r.*")
