@@ -440,7 +440,7 @@ def union_batches(spark, sf):
 
 # --- landing -----------------------------------------------------------------------------------
 
-TITLE_SQL = """replace(replace(regexp_extract(html, '<h1>(.*?)</h1>', 1), '&quot;', '"'), '&amp;', '&')"""
+TITLE_SQL = """trim(replace(replace(regexp_extract(html, '<h1>(.*?)</h1>', 1), '&quot;', '\"'), '&amp;', '&'))"""
 
 
 def feed_entries(spark, sf):
