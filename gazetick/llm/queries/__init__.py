@@ -1,4 +1,4 @@
 """All registered queries of the subpackage."""
 
-from gazetick.llm.queries import byte_bpe, mixing  # noqa: F401
+from gazetick.llm.queries import byte_bpe, langid, mixing, secrets, simhash  # noqa: F401
 from gazetick.llm.queries.registry import QUERIES, SQL  # noqa: F401
