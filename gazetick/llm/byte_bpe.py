@@ -20,6 +20,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 LEAF = 4096
 REACH = 32
 
-Encode = Callable[[str], Sequence[int]]
+Encode = Callable[[str], np.ndarray]
 
 
 def left_cut(text: str, low: int, middle: int) -> int:
@@ -58,11 +59,11 @@ def right_cut(text: str, middle: int, high: int) -> int:
         reach *= 2
 
 
-def encode_tree(text: str, encode: Encode, low: int = 0, high: int | None = None, leaf: int = LEAF) -> list[int]:
+def encode_tree(text: str, encode: Encode, low: int = 0, high: int | None = None, leaf: int = LEAF) -> np.ndarray:
     """Tokens of ``text[low:high]``."""
     high = len(text) if high is None else high
     if high - low <= leaf:
-        return list(encode(text[low:high]))
+        return encode(text[low:high])
     middle = (low + high) // 2
     left = encode_tree(text, encode, low, middle, leaf)
     right = encode_tree(text, encode, middle, high, leaf)
@@ -70,10 +71,7 @@ def encode_tree(text: str, encode: Encode, low: int = 0, high: int | None = None
     # What the window's two sides took on their own ends at the border, so it is counted off there.
     keep = len(left) - len(encode(text[a:middle]))
     skip = len(encode(text[middle:b]))
-    del left[keep:]
-    left += encode(text[a:b])
-    left += right[skip:]
-    return left
+    return np.concatenate([left[:keep], encode(text[a:b]), right[skip:]])
 
 
 def decode_tree(ids: Sequence[int], table: Sequence[bytes], low: int = 0, high: int | None = None) -> bytes:
@@ -107,8 +105,10 @@ class Tokenizer:
 
             encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=parse_ranks(content.value), special_tokens={})
             for texts in batches:
-                rows = [encode_tree(t.as_py() or "", encoding.encode_ordinary, leaf=leaf) for t in texts]
-                yield pa.array(rows, pa.list_(pa.int32()))
+                rows = [encode_tree(t.as_py() or "", encoding.encode_to_numpy, leaf=leaf) for t in texts]
+                ends = np.cumsum([0] + [len(r) for r in rows])
+                tokens = np.concatenate(rows) if rows else np.empty(0)
+                yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(tokens.astype(np.int32)))
 
         return bpe_encode(text)
 
@@ -123,7 +123,9 @@ class Tokenizer:
             for token, rank in ranks.items():
                 table[rank] = token
             for rows in batches:
-                yield pa.array([decode_tree(r.as_py() or (), table) for r in rows], pa.binary())
+                tokens, ends = rows.values.to_numpy(zero_copy_only=False), rows.offsets.to_numpy()
+                spans = zip(ends[:-1], ends[1:], rows.is_valid().to_pylist(), strict=True)
+                yield pa.array([decode_tree(tokens[a:b].tolist(), table) if valid else b"" for a, b, valid in spans], pa.binary())
 
         return bpe_decode(ids)
 
