@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from gazetick.functions.text import WORD
 from gazetick.operators.reduce import truncated_svd
-from gazetick.operators.textfeatures import BROADCAST_TERMS, ngrams, sparse_rows, term_index, tfidf
+from gazetick.operators.textfeatures import ngrams, sparse_rows, term_index, tfidf
+from gazetick.plans.lookup import lookup_join
 from gazetick.session import stage
 
 ENTITIES = "array<struct<word:string,label:string>>"
@@ -39,24 +40,27 @@ def annotate_with(df: DataFrame, col: str, load: Callable[[], Callable], out: st
 
 
 def annotate_entities(
-    df: DataFrame, row_id: str, col: str, gazetteer: DataFrame, max_words: int = 3, out: str = "entities"
+    df: DataFrame, row_id: str, col: str, gazetteer: DataFrame, out: str = "entities"
 ) -> DataFrame:
     """Leftmost-longest matches of ``gazetteer`` phrases (``phrase`` in lower case, ``label``).
 
-    Phrases of up to ``max_words`` words are looked up by equality; overlaps are settled inside each
-    document from its own matches.
+    Word runs of each length that the gazetteer has are looked up by equality; overlaps are settled
+    inside each document from its own matches.
     """
+    # One label per phrase. The lengths are read off the phrases, so none is too long to match.
+    table = stage(gazetteer.groupBy("phrase").agg(F.min("label").alias("label")))
+    lengths = sorted(r[0] for r in table.select(F.size(words_of(F.col("phrase")))).distinct().collect() if r[0] > 0)
+    empty = F.array().cast(ENTITIES)
+    if not lengths:
+        return df.withColumn(out, F.when(F.col(col).isNotNull(), empty))
     words = df.select(row_id, words_of(F.col(col)).alias("_w")).filter(F.size("_w") > 0)
     def of_size(n: int) -> Column:
         spans = lambda g, i: F.struct(i.alias("pos"), F.lit(n).alias("len"), g.alias("word"))
         return F.transform(ngrams(F.col("_w"), n, n), spans)
 
-    spans = F.concat(*[of_size(n) for n in range(1, max_words + 1)])
+    spans = F.concat(*[of_size(n) for n in lengths])
     grams = words.select(row_id, F.explode(spans).alias("_s")).select(row_id, "_s.*", F.lower("_s.word").alias("phrase"))
-    # One label per phrase, and the size check for sending the table around.
-    table = gazetteer.groupBy("phrase").agg(F.min("label").alias("label"))
-    small = table.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS
-    hits = grams.join(F.broadcast(table) if small else table, "phrase")
+    hits = lookup_join(grams, table, ["phrase"], F.col(row_id))
     longest = hits.groupBy(row_id, "pos").agg(F.max(F.struct("len", "word", "label")).alias("_m"))
     matches = longest.groupBy(row_id).agg(
         F.array_sort(F.collect_list(F.struct("pos", "_m.len", "_m.word", "_m.label"))).alias("_m")
@@ -69,7 +73,6 @@ def annotate_entities(
         return F.when(m["pos"] >= acc["end"], taken).otherwise(acc)
 
     entities = matches.select(row_id, F.aggregate("_m", start, keep)["kept"].alias(out))
-    empty = F.array().cast(ENTITIES)
     joined = df.join(entities, row_id, "left")
     return joined.withColumn(out, F.when(F.col(col).isNotNull(), F.coalesce(out, empty)))
 
@@ -104,9 +107,9 @@ def embed_text(
     A text without known terms gets the zero vector.
     """
     weights = stage(tfidf(df, row_id, col, (1, 1), max_features, 1, 1.0, True, stopwords))
-    index = term_index(weights)
-    rows = stage(sparse_rows(weights, index, row_id))
-    n_terms = weights.select("term").distinct().count()
+    index = stage(term_index(weights))
+    rows = stage(sparse_rows(weights, index, row_id, df))
+    n_terms = index.count()
     width = min(size, n_terms)
     vectors = truncated_svd(rows, row_id, n_terms, width, out=out)
     padded = F.slice(F.concat(F.col(out).cast("array<float>"), F.array_repeat(F.lit(0.0).cast("float"), size)), 1, size)

@@ -14,31 +14,32 @@ from gazetick.operators.ordering import dedupe_keep_first, top_n_per_group
 from gazetick.sources.catalog import ARTICLES_PER_SITE
 
 RULES = {"feed": markup.feed_fields, "standalone": markup.standalone_fields}
-FIELDS = "title string, date_text string, first_paragraph string"
+FIELDS = "title string, date_text string, first_paragraph string, error string"
 
 
 def page_fields(html: Column, rule: str = "feed") -> Column:
-    """struct(title, date_text, first_paragraph) of an HTML column.
+    """struct(title, date_text, first_paragraph, error) of an HTML column.
 
-    Only the page crosses to Python, in Arrow batches; a page that cannot be read gives blanks.
+    Only the page crosses to Python, in Arrow batches. A page that cannot be read gives blanks and
+    says why in ``error``, which is null otherwise.
     """
     read = RULES[rule]
 
     def safe(page):
         try:
-            return read(page or "")
-        except Exception:
-            return None, "", ""
+            return *read(page or ""), None
+        except Exception as fault:  # of one page; it is reported and the others go on
+            return None, "", "", f"{type(fault).__name__}: {fault}"
 
     @F.pandas_udf(FIELDS)
     def fields(pages: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([safe(p) for p in pages], columns=["title", "date_text", "first_paragraph"])
+        return pd.DataFrame([safe(p) for p in pages], columns=["title", "date_text", "first_paragraph", "error"])
 
     return fields(html)
 
 
 def extract_articles(pages: DataFrame, rule: str = "feed", html: str = "html") -> DataFrame:
-    """Replace the page by ``title, published_date_new_york, first_paragraph``.
+    """Replace the page by ``title, published_date_new_york, first_paragraph, error``.
 
     A feed title already on the row is kept when the page has no heading.
     """
@@ -51,30 +52,40 @@ def extract_articles(pages: DataFrame, rule: str = "feed", html: str = "html") -
             "title": title,
             "published_date_new_york": to_newyork(date),
             "first_paragraph": F.col("_f.first_paragraph"),
+            "error": F.col("_f.error"),
         }
     ).drop("_f", html)
 
 
-def claim_urls(entries: DataFrame, limit: int = ARTICLES_PER_SITE) -> DataFrame:
+def extraction_errors(extracted: DataFrame) -> DataFrame:
+    """``error, pages``: how many pages could not be read, and why."""
+    return extracted.filter("error is not null").groupBy("error").agg(F.count(F.lit(1)).alias("pages"))
+
+
+#: Order of a source's entries; a feed that is landed in several files needs their order between.
+PLACE = ("feed_rank", "pos")
+
+
+def claim_urls(entries: DataFrame, limit: int = ARTICLES_PER_SITE, place: tuple[str, ...] = PLACE) -> DataFrame:
     """Entries to fetch: first sighting per source, first ``limit`` of a source, one source per URL.
 
     A claim stands whether or not its page can be read later.
     """
-    own = dedupe_keep_first(filter_has_url(entries), ["source", "url"], ["feed_rank", "pos"])
-    capped = top_n_per_group(own, ["source"], ["feed_rank", "pos"], limit)
+    own = dedupe_keep_first(filter_has_url(entries), ["source", "url"], place)
+    capped = top_n_per_group(own, ["source"], place, limit)
     return dedupe_keep_first(capped, ["url"], ["source_rank"])
 
 
-def land_articles(entries: DataFrame, pages: DataFrame, limit: int = ARTICLES_PER_SITE) -> DataFrame:
+def land_articles(entries: DataFrame, pages: DataFrame, limit: int = ARTICLES_PER_SITE, place: tuple[str, ...] = PLACE) -> DataFrame:
     """Article records of landed feeds and pages.
 
     Claims are settled before the join, so Python only sees pages that are wanted. ``entries``:
     ``source, source_rank, feed_rank, pos, url, title``; ``pages``: ``url, html``.
     """
-    wanted = claim_urls(entries, limit).select("source", "source_rank", "feed_rank", "pos", "url", "title")
+    wanted = claim_urls(entries, limit, place).select("source", "source_rank", *place, "url", "title")
     read = extract_articles(wanted.join(pages.select("url", "html"), "url"), "feed")
     complete = filter_complete_articles(read)
-    kept = top_n_per_group(complete, ["source"], ["feed_rank", "pos"], limit)
+    kept = top_n_per_group(complete, ["source"], place, limit)
     return kept.select("source", "title", "url", "published_date_new_york", "first_paragraph")
 
 

@@ -17,6 +17,7 @@ from gazetick.functions.numeric import clip, ratio
 from gazetick.operators.ordering import dedupe_keep_first
 from gazetick.plans import ema
 from gazetick.plans.position import BLOCK, block_window, with_blocks, with_position
+from gazetick.session import stage
 
 # The windows of each feature family.
 RETURN_LAGS = (1, 5, 10, 20)
@@ -139,6 +140,9 @@ def rolling_features(blocks: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame
     )
 
     second = {f"MA_{n}": r.mean("close", n) for n in MA_WINDOWS}
+    # The bands divide by a spread that can be 0: their middle is a mean over the frame, without the
+    # remainder that a difference of running sums leaves on a flat price.
+    second["MA_20"] = F.when(r.full("close", 20), r.over(F.avg("close"), 20))
     second |= {f"volume_MA_{n}": r.mean("volume", n) for n in VOLUME_WINDOWS}
     second["_std_20"] = F.when(r.full("close", 20), F.col("_std_20"))
     for n in RANGE_WINDOWS:
@@ -228,10 +232,9 @@ def bar_features(bars: DataFrame, keys: Sequence[str] = KEYS, block: int = BLOCK
     """Bars plus 63 features, nulls while a window is not yet full.
 
     Shuffles: by (key, time bucket) to number the rows, by (key, block) for all features at once.
-    Read ``bars`` from a table (or :func:`gazetick.session.stage` them): the carried averages are a
-    second, narrow pass over them.
+    Bars and their numbers are staged, since several branches read them.
     """
-    positioned = positioned_bars(bars, keys)
+    positioned = stage(positioned_bars(stage(bars), keys))
     blocks = with_blocks(positioned, block=block, before=LONGEST_FRAME)
     df = rolling_features(blocks, keys)
     df = exponential_averages(positioned, df, (*EMA_SPANS, *MACD_SPANS), keys=keys, block=block)

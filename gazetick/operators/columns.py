@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from gazetick.functions.numeric import finite_or_null
 
+# The one-letter keys of a bar response and the names they stand for.
 BAR_NAMES = {
     "o": "open",
     "h": "high",
@@ -21,7 +22,8 @@ BAR_NAMES = {
     "t": "timestamp",
     "n": "transactions",
 }
-NOT_FEATURES = ("symbol", "date", "timestamp", "target", "future_return_5", "split")
+# Identity, label and the row's place in time: none of them may reach a model.
+NOT_FEATURES = ("symbol", "date", "timestamp", "target", "future_return_5", "split", "pos", "split_pos")
 
 
 def normalise_columns(df: DataFrame, lower: bool = True) -> DataFrame:

@@ -96,10 +96,8 @@ def class_weights_balanced(df: DataFrame, label: str) -> DataFrame:
 def cluster_summary(df: DataFrame, label: str = "cluster") -> DataFrame:
     """Size of every cluster with the number of clusters and of noise rows (label -1)."""
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("size"))
-    whole = Window.partitionBy()
-    return sizes.select(
-        label,
-        "size",
-        F.count(F.when(F.col(label) != -1, 1)).over(whole).alias("n_clusters"),
-        F.coalesce(F.sum(F.when(F.col(label) == -1, F.col("size"))).over(whole), F.lit(0)).alias("n_noise"),
+    whole = sizes.agg(
+        F.count(F.when(F.col(label) != -1, 1)).alias("n_clusters"),
+        F.coalesce(F.sum(F.when(F.col(label) == -1, F.col("size"))), F.lit(0)).alias("n_noise"),
     )
+    return sizes.crossJoin(F.broadcast(whole))  # one row

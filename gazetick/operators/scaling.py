@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gazetick.plans.lookup import lookup_join
+
 
 def scaler_fit(
     df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (), where: Column | None = None
@@ -28,7 +30,7 @@ def standard_scale(
 ) -> DataFrame:
     """Adds the array ``out`` of (x - mean) / std; ``stats`` is one row per key."""
     # Without keys the statistics are a single row, the one size that is always safe to send around.
-    joined = df.join(stats, list(keys)) if keys else df.crossJoin(F.broadcast(stats))
+    joined = lookup_join(df, stats, keys, F.monotonically_increasing_id()) if keys else df.crossJoin(F.broadcast(stats))
     scaled = [(F.col(c).cast("double") - F.col("mean")[i]) / F.col("std")[i] for i, c in enumerate(cols)]
     return joined.withColumn(out, F.array(*scaled)).drop("mean", "std")
 

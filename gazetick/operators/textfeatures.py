@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gazetick.functions.text import WORD, clean_and_tokenize, pad_truncate, remove_stopwords
-from gazetick.plans.position import with_position
+from gazetick.plans.lookup import BROADCAST_TERMS, lookup_join
+from gazetick.plans.position import ranked, with_position
+from gazetick.session import stage
 
 PAD, UNK = 0, 1
-# A vocabulary up to this many rows may be sent to every executor.
-BROADCAST_TERMS = 100_000
 
 
 def build_vocab(docs: DataFrame, doc_id: str, tokens: Column, min_count: int = 2) -> DataFrame:
@@ -42,7 +42,7 @@ def vocab_lookup(docs: DataFrame, doc_id: str, tokens: Column, vocab: DataFrame,
     """
     kept = tokens if length is None else F.slice(tokens, 1, length)
     words = docs.select(doc_id, F.posexplode_outer(kept).alias("_pos", "token"))
-    found = words.join(vocab, "token", "left")
+    found = lookup_join(words, vocab, ["token"], F.col(doc_id), "left")
     pair = F.when(F.col("_pos").isNotNull(), F.struct("_pos", F.coalesce("id", F.lit(UNK)).cast("int").alias("id")))
     grouped = found.groupBy(doc_id).agg(F.array_sort(F.collect_list(pair)).alias("_pairs"))
     return grouped.select(doc_id, F.transform("_pairs", lambda p: p["id"]).alias("ids"))
@@ -61,7 +61,7 @@ def label_table(df: DataFrame, label: str) -> DataFrame:
 
 
 def label_encode(df: DataFrame, label: str, out: str = "label_idx") -> DataFrame:
-    return df.join(label_table(df, label).withColumnRenamed("idx", out), label)
+    return lookup_join(df, label_table(df, label).withColumnRenamed("idx", out), [label], F.monotonically_increasing_id())
 
 
 def terms(text: Column, stopwords: Sequence[str] | None = None) -> Column:
@@ -89,13 +89,17 @@ def term_counts(
 ) -> DataFrame:
     """``doc_id, term, tf``.
 
-    Texts are placed by document before they are exploded: the n-grams, several times the text, are
-    then counted and later normalised where they are, without a shuffle of their own.
+    A document's n-grams are counted inside its row, so neither texts nor single n-grams are
+    shuffled; only (term, document) counts leave. Ids are unique.
     """
-    placed = docs.select(doc_id, text).repartition(doc_id)
-    split = placed.select(doc_id, terms(F.col(text), stopwords).alias("_t"))
-    grams = split.select(doc_id, F.explode(ngrams(F.col("_t"), *ngram)).alias("term"))
-    return grams.groupBy(doc_id, "term").agg(F.count(F.lit(1)).alias("tf"))
+    split = docs.select(doc_id, terms(F.col(text), stopwords).alias("_t"))
+    grams = split.select(doc_id, F.array_sort(ngrams(F.col("_t"), *ngram)).alias("_g"))
+    # A run of equal n-grams in sorted order ends where the next one differs; its length is the count.
+    size = F.size("_g")
+    ends = F.filter(F.transform("_g", lambda g, i: F.struct(g.alias("term"), (i + 1).alias("end"))), lambda e: (e.end == size) | (F.get("_g", e.end) != e.term))
+    runs = grams.select(doc_id, ends.alias("_e")).select(doc_id, F.posexplode("_e").alias("_i", "_r"), "_e")
+    before = F.when(F.col("_i") > 0, F.get("_e", F.col("_i") - 1)["end"]).otherwise(0)
+    return runs.select(doc_id, "_r.term", (F.col("_r.end") - before).cast("bigint").alias("tf"))
 
 
 def tfidf_vocabulary(
@@ -126,7 +130,7 @@ def tfidf(
     stopwords: Sequence[str] | None = None,
 ) -> DataFrame:
     """``doc_id, term, weight``: smoothed idf, rows of length 1."""
-    counts = term_counts(docs, doc_id, text, ngram, stopwords)
+    counts = stage(term_counts(docs, doc_id, text, ngram, stopwords))  # read for the vocabulary and for the weights
     n_docs = docs.agg(F.count(F.lit(1)).alias("n"))
     vocab = tfidf_vocabulary(counts, n_docs, max_features, min_df, max_df)
     return weigh(counts, vocab, doc_id, sublinear, bounded=max_features is not None and max_features <= BROADCAST_TERMS)
@@ -143,19 +147,22 @@ def weigh(counts: DataFrame, vocab: DataFrame, doc_id: str, sublinear: bool = Fa
 
 
 def term_index(weights: DataFrame) -> DataFrame:
-    """``term, idx``: columns of the matrix in alphabetical order (bounded by ``max_features``)."""
-    names = weights.select("term").distinct()
-    return names.select("term", (F.row_number().over(Window.orderBy("term")) - 1).alias("idx"))
+    """``term, idx``: columns of the matrix in alphabetical order."""
+    return ranked(weights.select("term").distinct(), ["term"], "_at").select("term", F.col("_at").cast("int").alias("idx"))
 
 
-def sparse_rows(weights: DataFrame, index: DataFrame, doc_id: str) -> DataFrame:
-    """``doc_id, idx, val``: one sparse row per document, indices ascending."""
-    joined = weights.join(index, "term")
-    rows = joined.groupBy(doc_id).agg(F.array_sort(F.collect_list(F.struct("idx", "weight"))).alias("_p"))
+def sparse_rows(weights: DataFrame, index: DataFrame, doc_id: str, docs: DataFrame) -> DataFrame:
+    """``doc_id, idx, val``: one sparse row for each of ``docs``, indices ascending.
+
+    A document without a kept term is a row of zeros, with empty arrays.
+    """
+    joined = lookup_join(weights, index, ["term"], F.col(doc_id))
+    found = joined.groupBy(doc_id).agg(F.array_sort(F.collect_list(F.struct("idx", "weight"))).alias("_p"))
+    rows = docs.select(doc_id).join(found, doc_id, "left")
     return rows.select(
         doc_id,
-        F.transform("_p", lambda p: p["idx"]).alias("idx"),
-        F.transform("_p", lambda p: p["weight"]).alias("val"),
+        F.coalesce(F.transform("_p", lambda p: p["idx"]), F.array().cast("array<int>")).alias("idx"),
+        F.coalesce(F.transform("_p", lambda p: p["weight"]), F.array().cast("array<double>")).alias("val"),
     )
 
 

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gazetick.session import stage
+
 BLOCK = 1024
 
 
@@ -69,6 +71,20 @@ def with_position(
     return numbered.select(*df.columns, (F.col("_rn") + F.col("_off")).alias(out), *extra)
 
 
+def ranked(df: DataFrame, order: Sequence[Column | str], out: str) -> DataFrame:
+    """0-based rank of every row in ``order``, whatever the types; ties in any order.
+
+    Rows are sorted by range over all partitions, so no task holds them all. What meets in one window
+    is one count for each partition.
+    """
+    rows = stage(df.orderBy(*order).withColumn("_row", F.monotonically_increasing_id())).withColumn("_part", F.shiftright("_row", 33))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    offset = F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.shiftleft("_part", 33)
+    placed = rows.join(F.broadcast(counts.select("_part", offset.alias("_off"))), "_part")
+    return placed.select(*df.columns, (F.col("_row") + F.col("_off")).alias(out))
+
+
 def with_blocks(
     df: DataFrame, pos: str = "pos", block: int = BLOCK, before: int = 0, after: int = 0
 ) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gazetick.functions.dates import epoch_ms_to_ts
@@ -74,12 +75,11 @@ def write_json_records(spark, sf):
 
 @query("read_articles_json", ARTICLES_SQL)
 def read_articles_json(spark, sf):
-    """One JSON array per source, each in a file of its own."""
+    """JSON arrays of up to 100 articles, each in a file of its own."""
     path = scratch(spark)
     record = F.struct(*readers.ARTICLE_COLUMNS)
-    per_source = articles(spark, sf).groupBy("source").agg(F.to_json(F.collect_list(record)).alias("value"))
-    # A multi-line file is one document: the source partition keeps the arrays apart.
-    per_source.select("value", F.col("source").alias("part")).write.partitionBy("part").text(path)
+    landed = articles(spark, sf).groupBy(F.floor(F.col("doc_id") / 100)).agg(F.to_json(F.collect_list(record)).alias("value"))
+    landed.select("value").write.option("maxRecordsPerFile", 1).text(path)
     return readers.read_articles_json(spark, path).select(*readers.ARTICLE_COLUMNS)
 
 
@@ -110,26 +110,56 @@ def write_embeddings(spark, sf):
     return back.select("url", F.array_join(shown, ",").alias("v"))
 
 
-@query(
-    "read_feed",
-    """SELECT url, regexp_extract(html, '<title>(.*?)</title>', 1) AS raw_title, page_id AS rank FROM pages""",
-)
-def read_feed(spark, sf):
-    """Landed RSS: one item per page, markup escaped; item order is kept inside a file."""
+FEED_ITEMS = 50
+
+
+def landed_feeds(spark, sf):
+    """The pages as items of the catalogue's 17 feeds, read back from RSS files of up to 50 items.
+
+    A feed is landed in batches; its pages are dealt to it by their id.
+    """
     path = scratch(spark)
-    pages = table(spark, sf, "pages")
+    number = Window.orderBy("source_rank", "feed_rank")  # of 17 rows
+    feeds = source_catalog(spark).select("source", "feed_rank", (F.row_number().over(number) - 1).alias("feed"))
+    pages = table(spark, sf, "pages").withColumns(
+        {"feed": F.pmod("page_id", F.lit(17)).cast("int"), "batch": F.floor(F.col("page_id") / (17 * FEED_ITEMS))}
+    )
     escaped = lambda c: F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
     raw = F.regexp_extract("html", "(?s)<title>(.*?)</title>", 1)
     item = F.concat(
         F.lit("<item><title>"), escaped(raw), F.lit("</title><link>"), escaped(F.col("url")),
         F.lit("</link><pubDate>"), F.col("page_id").cast("string"), F.lit("</pubDate></item>"),
     )
-    pages.select(item.alias("value")).write.text(path)
-    return readers.read_feed(spark, path).select(
-        "url", F.col("title").alias("raw_title"), F.col("rss_date").cast("long").alias("rank")
+    items = F.array_sort(F.collect_list(F.struct("page_id", item.alias("item"))))
+    files = pages.join(F.broadcast(feeds), "feed").groupBy("source", "feed_rank", "batch").agg(items.alias("items"))
+    text = F.concat(F.lit("<rss><channel>"), F.array_join("items.item", ""), F.lit("</channel></rss>"))
+    landed = files.select("source", "feed_rank", "batch", text.alias("value"))
+    landed.write.option("maxRecordsPerFile", 1).partitionBy("source", "feed_rank", "batch").text(path)
+    return readers.read_feed(spark, path, source_catalog(spark))
+
+
+FEEDS_SQL = """(VALUES ('BBC', 0, 0), ('BBC', 0, 1), ('BBC', 0, 2), ('BBC', 0, 3), ('BBC', 0, 4), ('NPR', 1, 0), ('NPR', 1, 1),
+    ('NPR', 1, 2), ('Guardian', 2, 0), ('Guardian', 2, 1), ('Guardian', 2, 2), ('CBS', 3, 0), ('NBC', 4, 0), ('FOX', 5, 0),
+    ('CNN', 6, 0), ('CNN', 6, 1), ('CNN', 6, 2)) f(source, source_rank, feed_rank)"""
+LANDED_SQL = f"""feeds AS (SELECT *, row_number() OVER (ORDER BY source_rank, feed_rank) - 1 AS feed FROM {FEEDS_SQL}),
+    landed AS (SELECT page_id, html, url, source, source_rank, feed_rank, page_id // {17 * FEED_ITEMS} AS batch,
+        row_number() OVER (PARTITION BY feed, page_id // {17 * FEED_ITEMS} ORDER BY page_id) - 1 AS pos
+      FROM pages JOIN feeds ON feed = page_id % 17)"""
+
+
+@query(
+    "read_feed",
+    f"""WITH {LANDED_SQL} SELECT source, source_rank::INTEGER AS source_rank, feed_rank::INTEGER AS feed_rank, pos::INTEGER AS pos,
+      url, trim(regexp_extract(html, '<title>(.*?)</title>', 1)) AS raw_title, page_id AS rank FROM landed""",
+)
+def read_feed(spark, sf):
+    """Landed RSS with source, ranks and the item's place in its file."""
+    return landed_feeds(spark, sf).select(
+        "source", "source_rank", "feed_rank", "pos", "url", F.trim("title").alias("raw_title"), F.col("rss_date").cast("long").alias("rank")
     )
 
 
+# Sources in catalogue order with their number of feeds.
 CATALOG_VALUES = """(VALUES ('BBC', 0, 5), ('NPR', 1, 3), ('Guardian', 2, 3), ('CBS', 3, 1), ('NBC', 4, 1), ('FOX', 5, 1),
     ('CNN', 6, 3)) c(source, source_rank, feeds)"""
 
@@ -187,9 +217,7 @@ def read_bars(spark, sf):
     result = F.struct(*[F.col(long).alias(short) for long, short in names.items()])
     days = bars.groupBy("symbol", F.to_date("date").alias("day")).agg(F.collect_list(result).alias("results"))
     days.select("symbol", "results").union(days.select("symbol", F.lit(None))).write.partitionBy("symbol").json(path)
-    symbols = [r[0] for r in bars.select("symbol").distinct().collect()]
-    per_symbol = [C.rename_bars(readers.read_bars(spark, f"{path}/symbol={s}", s, lines=True)) for s in symbols]
-    return bar_rows(O.union_batches(*per_symbol))
+    return bar_rows(C.rename_bars(readers.read_bars(spark, path, lines=True)))
 
 
 # --- columns and predicates --------------------------------------------------------------------
@@ -498,7 +526,7 @@ def _extract(name, rule, longer):
     )
     def run(spark, sf):
         use_utc(spark)
-        return extract_articles(table(spark, sf, "pages").select("page_id", "html"), rule)
+        return extract_articles(table(spark, sf, "pages").select("page_id", "html"), rule).drop("error")
 
 
 _extract("extract_articles_feed", "feed", 60)
@@ -516,15 +544,30 @@ def land_articles_query(spark, sf):
     return land_articles(feed_entries(spark, sf), table(spark, sf, "pages"))
 
 
+@query(
+    "land_feeds",
+    f"""WITH {LANDED_SQL}, {paragraph_sql(60)},
+    own AS (SELECT *, row_number() OVER (PARTITION BY source, url ORDER BY feed_rank, batch, pos) AS r1 FROM landed),
+    capped AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY feed_rank, batch, pos) AS r2 FROM own WHERE r1 = 1),
+    claimed AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY source_rank) AS r3 FROM capped WHERE r2 <= 150)
+    SELECT c.source, {TITLE_SQL.replace('html', 'p.html')} AS title, c.url, '' AS published_date_new_york, first_paragraph
+    FROM claimed c JOIN pages p USING (url) JOIN paragraph g ON g.page_id = p.page_id WHERE r3 = 1 AND {TITLE_SQL.replace('html', 'p.html')} <> ''""",
+)
+def land_feeds(spark, sf):
+    """From landed feed files and fetched pages to article records."""
+    use_utc(spark)
+    return land_articles(landed_feeds(spark, sf), table(spark, sf, "pages"), place=("feed_rank", "batch", "pos"))
+
+
 # --- upsert ------------------------------------------------------------------------------------
 
 
 @query(
     "upsert_by_key",
     """WITH t AS (SELECT 'doc/' || doc_id AS url, source, text AS first_paragraph, lang AS title, n_chars AS embedding,
-        'old' AS created FROM documents WHERE lang IN ('en', 'fr')),
-      i AS (SELECT 'doc/' || doc_id AS url, upper(source) AS source, left(text, 10) AS first_paragraph, 'new ' || lang AS title,
-        -n_chars AS embedding FROM documents WHERE lang IN ('fr', 'de'))
+        'old' AS created FROM documents WHERE lang <> 'de'),
+      i AS (SELECT 'doc/' || doc_id AS url, upper(source) AS source, 'new ' || text AS first_paragraph, 'new ' || lang AS title,
+        -n_chars AS embedding FROM documents WHERE lang <> 'en')
     SELECT url, coalesce(t.source, i.source) AS source, coalesce(t.created, 'now') AS created,
       CASE WHEN i.url IS NULL THEN t.title ELSE i.title END AS title,
       CASE WHEN i.url IS NULL THEN t.first_paragraph ELSE i.first_paragraph END AS first_paragraph,
@@ -532,14 +575,14 @@ def land_articles_query(spark, sf):
     FROM t FULL JOIN i USING (url)""",
 )
 def upsert_query(spark, sf):
-    """A batch of two languages into a table that already holds one of them."""
+    """A batch of three languages into a table that already holds two of them and one more."""
     docs = table(spark, sf, "documents").withColumn("url", F.concat(F.lit("doc/"), F.col("doc_id").cast("string")))
-    target = docs.filter(F.col("lang").isin("en", "fr")).select(
+    target = docs.filter(F.col("lang") != "de").select(
         "url", "source", F.lit("old").alias("created"), F.col("lang").alias("title"),
         F.col("text").alias("first_paragraph"), F.col("n_chars").alias("embedding"),
     )
-    incoming = docs.filter(F.col("lang").isin("fr", "de")).select(
+    incoming = docs.filter(F.col("lang") != "en").select(
         "url", F.upper("source").alias("source"), F.concat(F.lit("new "), F.col("lang")).alias("title"),
-        F.left("text", F.lit(10)).alias("first_paragraph"), (-F.col("n_chars")).alias("embedding"),
+        F.concat(F.lit("new "), F.col("text")).alias("first_paragraph"), (-F.col("n_chars")).alias("embedding"),
     )
     return upsert_by_key(target, incoming, defaults={"created": F.lit("now")})

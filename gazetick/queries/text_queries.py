@@ -9,8 +9,8 @@ from gazetick.functions.dates import to_newyork
 from gazetick.functions.stem import stem_tokens
 from gazetick.operators.annotate import annotate_entities, entity_count
 from gazetick.operators.articles import preprocess_articles
-from gazetick.operators.ordering import first_n
 from gazetick.operators.profile import token_counts
+from gazetick.operators.textfeatures import ngrams
 from gazetick.queries import sqltext as S
 from gazetick.queries.registry import query, r6, sql_r6, table
 from gazetick.session import use_utc
@@ -187,22 +187,17 @@ def token_counts_query(spark, sf):
     return token_counts(table(spark, sf, "documents"), X.clean_and_tokenize(F.col("text")))
 
 
-TOP_TOKENS = 50
-
-
 @query(
     "top_stems",
     f"""WITH words AS (SELECT unnest({S.cleaned_words('text')}) AS token FROM documents),
     {S.stem_steps('words')}
-    SELECT stem, count(*) AS count FROM words JOIN stems USING (token) GROUP BY stem
-    ORDER BY count DESC, stem LIMIT {TOP_TOKENS}""",
+    SELECT stem, count(*) AS count FROM words JOIN stems USING (token) GROUP BY stem""",
 )
 def top_stems(spark, sf):
-    """The most frequent stems of all documents; words are counted before they are stemmed, so the
-    stemmer sees each distinct word once."""
+    """Counts of all stems; words are counted before they are stemmed, so the stemmer sees each
+    distinct word once."""
     words = token_counts(table(spark, sf, "documents"), X.cleaned_words(F.col("text")))
-    stems = words.groupBy(stem_tokens(F.array("token"))[0].alias("stem")).agg(F.sum("count").alias("count"))
-    return first_n(stems, TOP_TOKENS, F.desc("count"), F.asc("stem"))
+    return words.groupBy(stem_tokens(F.array("token"))[0].alias("stem")).agg(F.sum("count").alias("count"))
 
 
 # One date layout per event type, one of them unreadable.
@@ -233,24 +228,21 @@ def to_newyork_query(spark, sf):
 
 
 def gazetteer(spark, sf):
-    """The first one, two and three words of every benchmark item, which documents quote."""
-    words = F.transform(F.regexp_extract_all(F.lower("text"), F.lit(f"[{X.WORD}]+"), F.lit(0)), lambda w: w)
-    items = table(spark, sf, "benchmark").select(words.alias("w"))
-    sizes = [
-        items.filter(F.size("w") >= n).select(F.array_join(F.slice("w", 1, n), " ").alias("phrase"), F.lit(f"W{n}").alias("label"))
-        for n in (1, 2, 3)
-    ]
+    """All runs of two, three and seven words of every benchmark item, which documents quote."""
+    words = table(spark, sf, "benchmark").select(F.regexp_extract_all(F.lower("text"), F.lit(f"[{X.WORD}]+"), F.lit(0)).alias("w"))
+    sizes = [words.select(F.explode(ngrams(F.col("w"), n, n)).alias("phrase"), F.lit(f"W{n}").alias("label")) for n in (2, 3, 7)]
     return sizes[0].union(sizes[1]).union(sizes[2]).distinct()
 
 
 ENTITY_SQL = f"""RECURSIVE bw AS (SELECT regexp_extract_all(lower(text), '[{S.WORD}]+') AS w FROM benchmark),
     gaz AS (SELECT phrase, min(label) AS label FROM (
-      SELECT array_to_string(w[1:n], ' ') AS phrase, 'W' || n AS label FROM bw, (VALUES (1), (2), (3)) v(n) WHERE len(w) >= n)
+      SELECT array_to_string(w[i:i + n - 1], ' ') AS phrase, 'W' || n AS label
+      FROM (SELECT w, n, unnest(generate_series(1, len(w) - n + 1)) AS i FROM bw, (VALUES (2), (3), (7)) v(n) WHERE len(w) >= n))
       GROUP BY phrase),
     docw AS (SELECT doc_id, regexp_extract_all(text, '[{S.WORD}]+') AS w FROM documents),
     starts AS (SELECT doc_id, w, unnest(generate_series(1, len(w))) AS pos FROM docw),
     grams AS (SELECT doc_id, pos, n, array_to_string(w[pos:pos + n - 1], ' ') AS word
-      FROM starts, (VALUES (1), (2), (3)) v(n) WHERE pos + n - 1 <= len(w)),
+      FROM starts, (VALUES (2), (3), (7)) v(n) WHERE pos + n - 1 <= len(w)),
     hits AS (SELECT doc_id, pos, max(n) AS n FROM grams JOIN gaz ON lower(word) = phrase GROUP BY doc_id, pos),
     best AS (SELECT h.doc_id, h.pos, h.n, g.word, z.label FROM hits h JOIN grams g USING (doc_id, pos, n)
       JOIN gaz z ON lower(g.word) = z.phrase),
@@ -270,7 +262,7 @@ ENTITY_SQL = f"""RECURSIVE bw AS (SELECT regexp_extract_all(lower(text), '[{S.WO
 )
 def annotate_entities_query(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    done = annotate_entities(docs, "doc_id", "text", gazetteer(spark, sf), 3)
+    done = annotate_entities(docs, "doc_id", "text", gazetteer(spark, sf))
     return done.select(
         "doc_id", X.format_entities(F.col("entities")).alias("ner"), entity_count(F.col("entities")).alias("entity_count")
     )

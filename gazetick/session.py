@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -44,20 +45,34 @@ def shared_dir(spark: SparkSession) -> str:
     path = spark.conf.get(CHECKPOINT_DIR, None)
     if path:
         return path
-    if not spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master.partition("[")[0] != "local":
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors share")
     path = tempfile.mkdtemp(prefix="gazetick-")
     spark.conf.set(CHECKPOINT_DIR, path)
     return path
 
 
-def stage(df: DataFrame) -> DataFrame:
+def run_dir(spark: SparkSession) -> str:
+    """The application's own folder inside the shared one; :func:`clean_up` removes it."""
+    return f"{shared_dir(spark).rstrip('/')}/gazetick-{spark.sparkContext.applicationId}"
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Remove all that this application has staged. Tables that are still read from there are gone then."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(run_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def stage(df: DataFrame, types: dict[str, T.DataType] | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts lineage for iterative jobs and for results that several branches read. Parquet rather
-    than an RDD checkpoint, so later branches still prune columns and push filters.
+    than an RDD checkpoint, so later branches still prune columns and push filters. ``types`` names
+    columns to be read as another type of the same storage.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    path = f"{run_dir(spark)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    fields = [T.StructField(f.name, (types or {}).get(f.name, f.dataType), f.nullable, f.metadata) for f in df.schema.fields]
+    return spark.read.schema(T.StructType(fields)).parquet(path)

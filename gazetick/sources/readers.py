@@ -48,28 +48,39 @@ def read_article_lines(spark: SparkSession, path: str | list[str], schema: T.Str
     return spark.read.json(path, schema=schema or _strings(ARTICLE_COLUMNS))
 
 
-def read_feed(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """RSS items of landed feed files: ``file, pos, url, title, rss_date``.
+def read_feed(spark: SparkSession, path: str | list[str], catalog: DataFrame | None = None) -> DataFrame:
+    """RSS items of landed feed files: ``pos, url, title, rss_date`` and the columns of the folder.
 
-    ``pos`` keeps the item order of a file. Blank fields are ``""``.
+    Feeds are landed under ``source=.../feed_rank=.../``, and those names become columns. With the
+    catalog (one row a feed) its ``source_rank`` is added. ``pos`` is the item's 0-based place in its
+    own file; a feed is one small document, read as one row. Blank fields are ``""``. A file that is
+    not well formed fails the job rather than losing its items.
     """
-    schema = _strings(("link", "title", "pubDate"))
-    items = spark.read.format("xml").option("rowTag", "item").schema(schema).load(path)
+    item = T.ArrayType(_strings(("link", "title", "pubDate")))
+    schema = T.StructType([T.StructField("item", item)])
+    feeds = spark.read.format("xml").option("rowTag", "channel").option("mode", "FAILFAST").schema(schema).load(path)
+    folder = [c for c in feeds.columns if c != "item"]
     blank = F.lit("")
-    return items.select(
-        F.col("_metadata.file_path").alias("file"),
-        F.monotonically_increasing_id().alias("pos"),
-        F.coalesce(F.trim("link"), blank).alias("url"),
-        F.coalesce("title", blank).alias("title"),
-        F.coalesce("pubDate", blank).alias("rss_date"),
+    items = feeds.select(*folder, F.posexplode("item").alias("pos", "_i")).select(
+        *folder,
+        "pos",
+        F.coalesce(F.trim("_i.link"), blank).alias("url"),
+        F.coalesce("_i.title", blank).alias("title"),
+        F.coalesce("_i.pubDate", blank).alias("rss_date"),
     )
+    if catalog is None:
+        return items
+    ranks = catalog.select("source", "source_rank").distinct()  # one row a source of the user's own list
+    return items.join(F.broadcast(ranks), "source")
 
 
-def read_bars(spark: SparkSession, path: str | list[str], symbol: str, lines: bool = False) -> DataFrame:
+def read_bars(spark: SparkSession, path: str | list[str], symbol: str | None = None, lines: bool = False) -> DataFrame:
     """Range responses with a ``results`` array each; a response without one adds no rows.
 
-    A file holds one response, or with ``lines`` one response per line.
+    A file holds one response, or with ``lines`` one response per line. Without ``symbol`` the files
+    of all symbols are read at once, landed under ``symbol=.../``.
     """
     body = T.StructType([T.StructField("results", T.ArrayType(BAR_RESULT))])
     raw = spark.read.json(path, schema=body, multiLine=not lines)
-    return raw.select(F.lit(symbol).alias("symbol"), F.explode("results").alias("r")).select("symbol", "r.*")
+    name = F.col("symbol") if symbol is None else F.lit(symbol).alias("symbol")
+    return raw.select(name, F.explode("results").alias("r")).select("symbol", "r.*")
