@@ -27,6 +27,9 @@ MACD_SPANS = (12, 26, 9)
 VOLATILITY_WINDOWS = (5, 10, 20, 50)
 VOLUME_WINDOWS = (10, 20, 50)
 RANGE_WINDOWS = (10, 20, 50)
+CANDLE_NAMES = ("body", "body_abs", "upper_wick", "lower_wick", "candle_range", "body_ratio", "close_position")
+VWAP_NAMES = ("vwap_distance", "open_vwap_distance")
+CALENDAR_NAMES = ("hour", "minute", "day_of_week", "hour_sin", "hour_cos", "minute_sin", "minute_cos")
 EPS = 1e-8
 
 KEYS = ("symbol",)
@@ -214,7 +217,7 @@ def ema_table(
 
 def feature_names() -> list[str]:
     """The 63 derived features, grouped by family."""
-    names = [f"return_{k}" for k in RETURN_LAGS] + ["log_return"] + list(candles())
+    names = [f"return_{k}" for k in RETURN_LAGS] + ["log_return", *CANDLE_NAMES]
     for n in MA_WINDOWS:
         names += [f"MA_{n}", f"MA_distance_{n}"]
     names += [f"EMA_{s}" for s in EMA_SPANS] + ["RSI_14", "MACD", "MACD_signal", "MACD_hist"]
@@ -222,10 +225,10 @@ def feature_names() -> list[str]:
     names += [f"volatility_{n}" for n in VOLATILITY_WINDOWS] + ["volume_change"]
     for n in VOLUME_WINDOWS:
         names += [f"volume_MA_{n}", f"volume_ratio_{n}"]
-    names += list(vwap_distances())
+    names += VWAP_NAMES
     for n in RANGE_WINDOWS:
         names += [f"high_distance_{n}", f"low_distance_{n}"]
-    return names + list(calendar())
+    return [*names, *CALENDAR_NAMES]
 
 
 def bar_features(bars: DataFrame, keys: Sequence[str] = KEYS, block: int = BLOCK) -> DataFrame:
@@ -257,7 +260,7 @@ def label_and_split(
     ``gap`` rows before each later split are dropped, since their labels look into it (0 keeps them).
     Adds ``pos`` and ``split_pos``, the 1-based place within the split.
     """
-    base = features.drop("pos")
+    base = stage(features.drop("pos"))  # numbering reads it more than once
     numbered = with_position(base, ["timestamp"], keys, TS_SHIFTS, total="_n")
     blocks = with_blocks(numbered, block=block, after=horizon)
     ahead = F.lead("close", horizon).over(block_window(keys))
