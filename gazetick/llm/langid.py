@@ -16,6 +16,7 @@ Labels that are null are not learned from. Repeated rows count as often as they
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +25,6 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gazetick.llm.common import WORD
 from gazetick.session import stage
 
 UNKNOWN = "und"
@@ -34,8 +34,18 @@ ROUNDS = 3
 SMOOTHING = 0.05
 MARK = "▁"  # the vocabulary's sign for the start of a word
 SMALL = 1e-150
-#: Words whose scores a task keeps, and the longest word it keeps.
-KEPT_WORDS, KEPT_LENGTH = 400_000, 48
+#: Prefixes whose sums a task keeps, and the longest word it keeps.
+KEPT_PREFIXES, KEPT_LENGTH = 1_200_000, 48
+#: Words of a text looked up together, and characters of texts whose words are learned together.
+PART_WORDS, PREPARED = 100_000, 2_000_000
+
+
+LETTERS = re.compile(r"[^\W\d_]+")
+
+
+def words_of(text: str) -> list[str]:
+    """Runs of letters in lower case: what tells languages apart."""
+    return LETTERS.findall(text.lower())
 
 
 def read_pieces(path: str) -> tuple[list[str], list[str]]:
@@ -109,42 +119,117 @@ def word_scores(word: str, known: dict, longest: int, languages: int) -> list[fl
 
 
 class Scorer:
-    """Scores texts; words seen before are looked up in a table of bounded size."""
+    """Scores texts by a table of word prefixes.
+
+    The forward sum of a prefix needs the sums of shorter prefixes only, so words that begin alike
+    share them. New prefixes of one length are summed over together, one row a prefix.
+    """
 
     def __init__(self, model: Model):
-        self.model, self.known = model, model.table()
+        self.languages, self.longest = model.languages, model.longest
+        self.known = model.table()
+        # A row for each piece, and a last one of zeros for what is no piece.
+        self.piece = {piece: i for i, piece in enumerate(model.pieces)}
+        self.rows_of = np.vstack([model.probabilities.T, np.zeros((1, len(model.languages)))])
         self.clear()
 
     def clear(self):
-        self.place: dict[str, int] = {}
-        self.rows = np.empty((1024, len(self.model.languages)))
-
-    def place_of(self, word: str) -> int:
+        # The empty prefix stands behind the word's mark. A sum is its row times SMALL ** steps.
+        self.place: dict[str, int] = {"": 0}
+        self.sums = np.empty((4096, len(self.languages)))
+        self.sums[0] = self.known.get(MARK, (0.0,) * len(self.languages))
+        self.parent, self.steps = np.zeros(4096, np.int64), np.zeros(4096)
+
+    def _room(self, more: int) -> None:
+        while len(self.place) + more > len(self.sums):
+            self.sums = np.concatenate([self.sums, np.empty_like(self.sums)])
+            self.parent = np.concatenate([self.parent, np.zeros_like(self.parent)])
+            self.steps = np.concatenate([self.steps, np.zeros_like(self.steps)])
+
+    def learn(self, words: set[str]) -> None:
+        place, by_size, fresh = self.place, {}, set()
+        for word in words:
+            for size in range(len(word), 0, -1):
+                prefix = word[:size]
+                if prefix in place or prefix in fresh:
+                    break
+                fresh.add(prefix)
+        for prefix in fresh:
+            by_size.setdefault(len(prefix), []).append(prefix)
+        self._room(len(fresh))
+        for size in sorted(by_size):
+            self._sum(size, by_size[size])
+
+    def _sum(self, size: int, prefixes: list[str]) -> None:
+        none, get = len(self.rows_of) - 1, self.piece.get
+        parents = np.array([self.place[p[:-1]] for p in prefixes])
+        base = self.steps[parents]
+        total, before = np.zeros((len(prefixes), len(self.languages))), parents
+        for length in range(1, min(size, self.longest) + 1):
+            ids = np.array([get(p[-length:], none) for p in prefixes])
+            hit = np.flatnonzero(ids != none)
+            step = self.rows_of[ids[hit]]
+            if length == 1 and len(hit) < len(prefixes):
+                spelt = {p[-1] for p in prefixes if p[-1] not in self.piece}
+                spelt = {c: spelled(tuple(f"<0x{b:02X}>" for b in c.encode("utf-8", "replace")), self.known) for c in spelt}
+                hit, step = slice(None), np.array([spelt.get(p[-1]) or self.rows_of[i] for p, i in zip(prefixes, ids, strict=True)])
+            shift = SMALL ** (self.steps[before[hit]] - base[hit])
+            total[hit] += self.sums[before[hit]] * step * shift[:, None]
+            before = self.parent[before]
+        if size < self.longest:  # pieces that hold the mark, from before it
+            ids = np.array([get(MARK + p, none) for p in prefixes])
+            total += self.rows_of[ids] * (SMALL**-base)[:, None]
+        small = (total.max(axis=1) < SMALL) & (total.max(axis=1) > 0)
+        total[small] /= SMALL
         at = len(self.place)
-        if at >= len(self.rows):
-            self.rows = np.concatenate([self.rows, np.empty_like(self.rows)])
-        self.rows[at] = word_scores(word, self.known, self.model.longest, len(self.model.languages))
-        self.place[word] = at
-        return at
+        self.sums[at : at + len(prefixes)], self.parent[at : at + len(prefixes)] = total, parents
+        self.steps[at : at + len(prefixes)] = base + small
+        self.place.update(zip(prefixes, range(at, at + len(prefixes)), strict=True))
+
+    def word_logs(self, places: list[int]) -> np.ndarray:
+        """Log probabilities of words that were learned (words x languages)."""
+        with np.errstate(divide="ignore"):
+            logs = np.log(self.sums[places]) + (self.steps[places] * math.log(SMALL))[:, None]
+        return np.maximum(logs, -1e6)
+
+    def score(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """Language and posterior of each text."""
+        split = [words_of(t) if t is not None and self.languages and any(map(str.isalpha, t)) else None for t in texts]
+        found = []
+        for words in split:
+            if words is None:
+                found.append((UNKNOWN, 0.0))
+                continue
+            total = np.zeros(len(self.languages))
+            for low in range(0, len(words), PART_WORDS):
+                part = words[low : low + PART_WORDS]
+                fresh = set(part).difference(self.place)
+                long = [w for w in fresh if len(w) > KEPT_LENGTH]
+                if long:
+                    fresh.difference_update(long)
+                    for word in part:
+                        if len(word) > KEPT_LENGTH:
+                            total += word_scores(word, self.known, self.longest, len(total))
+                    part = [w for w in part if len(w) <= KEPT_LENGTH]
+                if fresh:
+                    if len(self.place) > KEPT_PREFIXES:
+                        self.clear()
+                        fresh = set(part)
+                    self.learn(fresh)
+                total += self.word_logs([self.place[w] for w in part]).sum(axis=0)
+            best = int(total.argmax())
+            found.append((self.languages[best], float(1 / np.exp(total - total[best]).sum())))
+        return found
 
     def __call__(self, text: str | None) -> tuple[str, float]:
-        if text is None or not self.model.languages or not any(map(str.isalpha, text)):
-            return UNKNOWN, 0.0
-        if len(self.place) > KEPT_WORDS:
+        return self.score([text])[0]
+
+    def prepare(self, texts: list[str | None]) -> None:
+        """Learn the new words of several texts at once, which is quicker than text by text."""
+        if len(self.place) > KEPT_PREFIXES:
             self.clear()
-        total = np.zeros(len(self.model.languages))
-        places, get = [], self.place.get
-        for word in text.split():
-            at = get(word)
-            if at is None:
-                if len(word) > KEPT_LENGTH or len(self.place) > KEPT_WORDS:
-                    total += word_scores(word, self.known, self.model.longest, len(total))
-                    continue
-                at = self.place_of(word)
-            places.append(at)
-        total += self.rows[places].sum(axis=0)
-        best = int(total.argmax())
-        return self.model.languages[best], float(1 / np.exp(total - total[best]).sum())
+        fresh = {w for t in texts if t is not None and self.languages for w in words_of(t)}.difference(self.place)
+        self.learn({w for w in fresh if len(w) <= KEPT_LENGTH})
 
 
 def expected_counts(word: str, known: dict, longest: int) -> dict:
@@ -182,7 +267,7 @@ def training_words(labelled: DataFrame, id: str, text: str, lang: str, per_langu
     ids = labelled.select(id, lang).filter(F.col(lang).isNotNull())
     ids = ids.withColumn("_rank", F.row_number().over(picked)).filter(F.col("_rank") <= per_language).select(id).distinct()
     sample = labelled.join(F.broadcast(ids), id).filter(F.col(lang).isNotNull())
-    words = sample.select(F.col(lang).alias("lang"), F.explode(F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0))).alias("word"))
+    words = sample.select(F.col(lang).alias("lang"), F.explode(F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), F.lit(0))).alias("word"))
     return words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -232,7 +317,15 @@ def predict(spark: SparkSession, model: Model, text: Column | str) -> Column:
     def language(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = Scorer(Model(*sent.value))
         for texts in batches:
-            found = [scorer(t.as_py()) for t in texts]
+            found, part, size = [], [], 0
+            for i, text in enumerate(texts):
+                part.append(text.as_py())
+                size += len(part[-1] or "")
+                if size > PREPARED or i == len(texts) - 1:
+                    if size <= 2 * PREPARED:  # a longer text learns its own words part by part
+                        scorer.prepare(part)
+                    found += scorer.score(part)
+                    part, size = [], 0
             yield pa.StructArray.from_arrays([pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=["lang", "score"])
 
     return language(text)

@@ -44,6 +44,16 @@ def test_forward_sums_all_segmentations():
         assert L.word_scores(word, known, model.longest, 3) == pytest.approx(by_all_segmentations(word, known, 3), rel=1e-12)
 
 
+def test_prefix_table():
+    model = small_model()
+    scorer = L.Scorer(model)
+    words = ["a", "b", "c", "é", "babab", "bab", "aaaaa", "日abxb", "日", "ab" * 24, "cé" * 20, "cé" * 19 + "b"]
+    for some in (words[:4], words[2:9], words):
+        scorer.learn(set(some))
+    want = [L.word_scores(w, model.table(), model.longest, 3) for w in words]
+    assert np.allclose(scorer.word_logs([scorer.place[w] for w in words]), want, rtol=1e-12)
+
+
 def test_long_words_do_not_underflow():
     model = small_model()
     known = model.table()
@@ -85,7 +95,7 @@ def test_predictions(spark, monkeypatch):
         assert found[i, t].lang_pred == lang and 1 / 3 <= found[i, t].score <= 1
     assert {found[i, t].lang_pred for i, t, *_ in odd[:3]} == {"und"} and found[1000, None].score == 0
     assert found[odd[3][:2]].lang_pred == "fr" and found[odd[4][:2]].lang_pred == "en"
-    monkeypatch.setattr(L, "KEPT_WORDS", 2)
+    monkeypatch.setattr(L, "KEPT_PREFIXES", 2)
     one = L.Scorer(model)
     assert [one(t)[0] for _, t, *_ in rows] == [r[2] for r in rows]
 
