@@ -89,17 +89,12 @@ def term_counts(
 ) -> DataFrame:
     """``doc_id, term, tf``.
 
-    A document's n-grams are counted inside its row, so neither texts nor single n-grams are
-    shuffled; only (term, document) counts leave. Ids are unique.
+    Texts stay where they are: each task counts the n-grams of its documents, and only those counts
+    are shuffled.
     """
     split = docs.select(doc_id, terms(F.col(text), stopwords).alias("_t"))
-    grams = split.select(doc_id, F.array_sort(ngrams(F.col("_t"), *ngram)).alias("_g"))
-    # A run of equal n-grams in sorted order ends where the next one differs; its length is the count.
-    size = F.size("_g")
-    ends = F.filter(F.transform("_g", lambda g, i: F.struct(g.alias("term"), (i + 1).alias("end"))), lambda e: (e.end == size) | (F.get("_g", e.end) != e.term))
-    runs = grams.select(doc_id, ends.alias("_e")).select(doc_id, F.posexplode("_e").alias("_i", "_r"), "_e")
-    before = F.when(F.col("_i") > 0, F.get("_e", F.col("_i") - 1)["end"]).otherwise(0)
-    return runs.select(doc_id, "_r.term", (F.col("_r.end") - before).cast("bigint").alias("tf"))
+    grams = split.select(doc_id, F.explode(ngrams(F.col("_t"), *ngram)).alias("term"))
+    return grams.groupBy(doc_id, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def tfidf_vocabulary(
