@@ -91,8 +91,8 @@ def string_runs(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarr
 
 
 def short(name: np.ndarray) -> np.ndarray:
-    """The part of a name that tells it from others of its bucket."""
-    return (name & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    """The part of a name that tells it from others of its bucket, as a signed number of 32 bits."""
+    return (name & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
 
 
 def bucket_of(name: np.ndarray, buckets: int) -> np.ndarray:
@@ -100,25 +100,22 @@ def bucket_of(name: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def group_of(ids: np.ndarray, groups: int) -> np.ndarray:
-    """The group of documents an id belongs to; the same as :func:`group_column`."""
+    """The group of documents an id belongs to."""
     return np.mod(ids ^ (ids >> 15), groups)
 
 
-def group_column(id, groups: int):
-    return F.pmod(id.bitwiseXOR(F.shiftright(id, 15)), F.lit(groups).cast("bigint"))
-
-
-def _lists(keys: np.ndarray, *columns: np.ndarray) -> list[pa.Array]:
-    """The distinct keys, and each column cut into one list per key."""
-    order = np.argsort(keys, kind="stable")
+def _lists(keys: np.ndarray, ids: np.ndarray, *columns: np.ndarray) -> list[pa.Array]:
+    """The distinct keys, and each column cut into one list per key, by id: such lists shrink best."""
+    order = np.lexsort((ids, keys))
     keys = keys[order]
     cuts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.empty(0, np.int64)
     ends = pa.array(np.append(cuts, len(keys)), pa.int32())
-    return [pa.array(keys[cuts].astype(np.int64)), *(pa.ListArray.from_arrays(ends, pa.array(c[order].astype(np.int64))) for c in columns)]
+    return [pa.array(keys[cuts].astype(np.int64)), *(pa.ListArray.from_arrays(ends, pa.array(c[order])) for c in (ids, *columns))]
 
 
-def _flat(column: pa.ListArray) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+def _values(batch: pa.RecordBatch, column: str, row: int) -> np.ndarray:
+    """One row's list."""
+    return batch.column(column)[row].values.to_numpy(zero_copy_only=False).astype(np.int64)
 
 
 def _joined(parts: list[np.ndarray]) -> np.ndarray:
@@ -127,7 +124,7 @@ def _joined(parts: list[np.ndarray]) -> np.ndarray:
 
 # --- 1. repeated names -------------------------------------------------------------------------
 
-NAMES = "key long, kind int, ids array<long>, names array<long>, docs array<long>"
+NAMES = "key long, kind int, ids array<long>, names array<int>, docs array<int>"
 
 
 def _ask(buckets: int, length: int):
@@ -152,7 +149,7 @@ def _ask(buckets: int, length: int):
             # The first and last document of a name stand for the batch; those between are known to repeat it.
             for kind, chosen in ((ASKED, first | last), (KNOWN, ~(first | last))):
                 if chosen.any():
-                    columns = _lists(bucket_of(name[chosen], buckets), id[chosen], short(name[chosen]), np.where(first, docs, 0)[chosen])
+                    columns = _lists(bucket_of(name[chosen], buckets), id[chosen], short(name[chosen]), np.where(first, docs, 0)[chosen].astype(np.int32))
                     kinds = pa.array(np.full(len(columns[0]), kind, np.int32))
                     yield pa.record_batch([columns[0], kinds, *columns[1:]], names=["key", "kind", "ids", "names", "docs"])
 
@@ -163,7 +160,7 @@ TOLD = "key long, kind int, ids array<long>, xs array<long>, ys array<long>"
 
 
 def _told(key, ids, xs, ys) -> pa.RecordBatch:
-    columns = _lists(key, ids, xs, ys)
+    columns = _lists(key, *(x.astype(np.int64) for x in (ids, xs, ys)))
     kinds = pa.array(np.full(len(columns[0]), ASKED, np.int32))
     return pa.record_batch([columns[0], kinds, *columns[1:]], names=["key", "kind", "ids", "xs", "ys"])
 
@@ -188,7 +185,7 @@ def _answer(groups: int):
         for batch in batches:
             for row in range(batch.num_rows):
                 key, kind = batch.column("key")[row].as_py(), batch.column("kind")[row].as_py()
-                ids, names, docs = (batch.column(c)[row].values.to_numpy(zero_copy_only=False).astype(np.int64) for c in ("ids", "names", "docs"))
+                ids, names, docs = (_values(batch, c, row) for c in ("ids", "names", "docs"))
                 if key != at:
                     if asked:
                         yield close()[1]
@@ -209,30 +206,68 @@ def _answer(groups: int):
 
 # --- 2. strings of repeated names --------------------------------------------------------------
 
-STRINGS = "key long, kind int, ids array<long>, xs array<long>, ys array<long>, sizes array<long>, bytes binary"
+STRINGS = "key long, kind int, ids array<long>, xs array<long>, ys array<long>, names array<long>, sizes array<long>, bytes binary"
+PACKED = "key long, kind int, ids array<long>, sizes array<long>, bytes binary"
+_LONGS = pa.list_(pa.int64())
+
+
+def _packed(pieces: list[bytes]) -> bytes:
+    """Pieces one after the other, compressed; the shuffle's own codec sees them one by one."""
+    return pa.Codec("zstd").compress(b"".join(pieces), asbytes=True)
+
+
+def _unpacked(content: pa.BinaryScalar, sizes: np.ndarray) -> bytes:
+    return pa.Codec("zstd").decompress(content.as_buffer(), decompressed_size=int(sizes.sum()), asbytes=True) if len(sizes) else b""
+
+
+def _pieces(content: bytes, sizes: np.ndarray) -> list[bytes]:
+    ends = np.cumsum(sizes)
+    return [content[a:b] for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)]
+
+
+def _pack(groups: int):
+    """The documents of a batch by group, one row a group and about ``BUCKET_BYTES`` of text."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("id").to_numpy()
+            group = group_of(ids, groups)
+            order = np.argsort(group, kind="stable")
+            out, texts, size = [], [], 0
+            for n, row in enumerate(order.tolist()):
+                texts.append((batch.column("text")[row].as_py() or "").encode())
+                size += len(texts[-1])
+                last = n + 1 == len(order) or group[order[n + 1]] != group[row]
+                if last or size > BUCKET_BYTES:
+                    own = ids[order[n + 1 - len(texts) : n + 1]]
+                    out.append((int(group[row]), KNOWN, own, list(map(len, texts)), _packed(texts)))
+                    texts, size = [], 0
+            if out:
+                kinds = (pa.int64(), pa.int32(), _LONGS, _LONGS, pa.binary())
+                columns = [pa.array(list(c), kind) for c, kind in zip(zip(*out, strict=True), kinds, strict=True)]
+                yield pa.record_batch(columns, names=["key", "kind", "ids", "sizes", "bytes"])
+
+    return pack
 
 
 def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """``(ids, xs, ys)`` of the group sorted by id, and a batch's document rows ``(id, text)`` of it; the lists of a group come first."""
+    """``(ids, xs, ys)`` of the group sorted by id, and documents ``(id, bytes)`` of it, a packed row at a time; the lists of a group come first."""
     at, parts, told = None, [], None
     for batch in batches:
         keys, kinds = batch.column("key").to_numpy(), batch.column("kind").to_numpy()
-        rows: list = []
         for row, (key, kind) in enumerate(zip(keys.tolist(), kinds.tolist(), strict=True)):
             if key != at:
-                if rows:
-                    yield told, rows
-                at, parts, told, rows = key, [], None, []
+                at, parts, told = key, [], None
             if kind == ASKED:
-                parts.append([batch.column(c)[row].values.to_numpy(zero_copy_only=False).astype(np.int64) for c in ("ids", "xs", "ys")])
+                parts.append([_values(batch, c, row) for c in ("ids", "xs", "ys")])
                 continue
             if told is None:
                 told = [_joined(x) for x in zip(*parts, strict=True)] if parts else [np.empty(0, np.int64)] * 3
                 order = np.argsort(told[0], kind="stable")
                 told, parts = [x[order] for x in told], []
-            rows.append((batch.column("id")[row].as_py(), batch.column("text")[row].as_py() or ""))
-        if rows:
-            yield told, rows
+            sizes = _values(batch, "sizes", row)
+            texts = _pieces(_unpacked(batch.column("bytes")[row], sizes), sizes)
+            yield told, list(zip(_values(batch, "ids", row).tolist(), texts, strict=True))
 
 
 def _of(told, id: int):
@@ -247,25 +282,26 @@ def _send(buckets: int, groups: int, length: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for told, rows in _grouped(batches):
             held: dict[tuple[int, bytes], list] = {}
+            named: dict[tuple[int, bytes], int] = {}
             lost: list[tuple[int, int, int]] = []
             for id, text in rows:
                 names, crowded = _of(told, id)
                 if not len(names):
                     continue
-                text = text.encode()
                 start, end, name = string_runs(text, length)
                 chosen = np.flatnonzero(np.isin(short(name), names))
                 spread = np.isin(short(name[chosen]), names[crowded > 0]) if crowded.any() else np.zeros(len(chosen), bool)
-                pieces = zip(bucket_of(name[chosen], buckets).tolist(), start[chosen].tolist(), end[chosen].tolist(), spread.tolist(), strict=True)
-                for bucket, low, high, alone in pieces:
+                pieces = zip(bucket_of(name[chosen], buckets).tolist(), start[chosen].tolist(), end[chosen].tolist(), spread.tolist(), short(name[chosen]).tolist(), strict=True)
+                for bucket, low, high, alone, called in pieces:
                     for first in range(low, high) if alone else (low,):
                         string = text[first : (first + 1 if alone else high) + length - 1]
                         key = bucket
                         if alone:
-                            key = int.from_bytes(hashlib.blake2b(string, digest_size=7).digest(), "big") % buckets
+                            called, key = divmod(int.from_bytes(hashlib.blake2b(string, digest_size=7).digest(), "big"), buckets)
                         mine = held.get((key, string))
                         if mine is None:
                             held[key, string] = [id, first]
+                            named[key, string] = called
                         elif mine[0] == id:
                             mine.append(first)
                         elif mine[0] < id:
@@ -275,21 +311,21 @@ def _send(buckets: int, groups: int, length: int):
                             held[key, string] = [id, first]
             by_bucket: dict[int, list] = {}
             for (bucket, string), (id, *places) in held.items():
-                by_bucket.setdefault(bucket, []).append((id, places, string))
+                by_bucket.setdefault(bucket, []).append((id, places, named[bucket, string], string))
             out = []
             for bucket, entries in by_bucket.items():
-                ids = [id for id, places, _ in entries for _ in places]
-                at = [place for _, places, _ in entries for place in places]
-                strings = [string for _, places, string in entries for _ in places]
-                out.append((bucket, ASKED, ids, at, [], list(map(len, strings)), b"".join(strings)))
+                ids = [id for id, places, *_ in entries for _ in places]
+                at = [place for _, places, *_ in entries for place in places]
+                names = [called for _, places, called, _ in entries for _ in places]
+                strings = [string for _, places, _, string in entries for _ in places]
+                out.append((bucket, ASKED, ids, at, [], names, list(map(len, strings)), _packed(strings)))
             if lost:
                 ids, low, high = map(list, zip(*lost, strict=True))
-                out.append((ids[0] % buckets, KNOWN, ids, low, high, [], b""))
+                out.append((ids[0] % buckets, KNOWN, ids, low, high, [], [], b""))
             if out:
-                longs = pa.list_(pa.int64())
-                kinds = (pa.int64(), pa.int32(), longs, longs, longs, longs, pa.binary())
+                kinds = (pa.int64(), pa.int32(), _LONGS, _LONGS, _LONGS, _LONGS, _LONGS, pa.binary())
                 columns = [pa.array(list(c), kind) for c, kind in zip(zip(*out, strict=True), kinds, strict=True)]
-                yield pa.record_batch(columns, names=["key", "kind", "ids", "xs", "ys", "sizes", "bytes"])
+                yield pa.record_batch(columns, names=["key", "kind", "ids", "xs", "ys", "names", "sizes", "bytes"])
 
     return send
 
@@ -384,31 +420,42 @@ class RunIndex:
         return marked
 
 
-def bucket_losses(ids: np.ndarray, places: np.ndarray, strings: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+#: Strings of one index, but for a name with more of its own.
+INDEXED = 4096
+
+
+def bucket_losses(ids: np.ndarray, places: np.ndarray, names: np.ndarray, strings: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``ids, start, end`` of the bytes lost: of each string all in all but its smallest document, and
-    there the windows that a smaller document holds in another string."""
+    there the windows that a smaller document holds in another string of the name."""
     place_of = {string: i for i, string in enumerate(dict.fromkeys(strings))}
     string_of = np.array([place_of[s] for s in strings])
     distinct = list(place_of)
+    name = np.empty(len(distinct), np.int64)
+    name[string_of] = names
     owner = np.full(len(distinct), np.iinfo(np.int64).max)
     np.minimum.at(owner, string_of, ids)
     sizes = np.array(list(map(len, distinct)))
     whole = ids > owner[string_of]
     out = [[ids[whole]], [places[whole]], [places[whole] + sizes[string_of[whole]]]]
-    # Windows in two strings have one name, so strings without a partner of their name need no index.
-    names = np.array([string_runs(s, length)[2][0] for s in distinct])
-    _, name_of, shared = np.unique(names, return_inverse=True, return_counts=True)
-    together = np.flatnonzero(shared[name_of] > 1)
-    if len(together):
-        index = RunIndex([distinct[i] for i in together], owner[together], length)
-        marked = index.smaller_matches(owner[together])
-        position = np.full(len(distinct), -1)
-        position[together] = np.arange(len(together))
-        own = np.flatnonzero(~whole & (position[string_of] >= 0))
-        entry, window = np.nonzero(marked[position[string_of[own]]])
-        out[0].append(ids[own[entry]])
-        out[1].append(places[own[entry]] + window)
-        out[2].append(places[own[entry]] + window + length)
+    # Equal windows have one name, so strings of different names need no common index, and a string
+    # without a partner of its name needs none at all.
+    _, name_of, shared = np.unique(name, return_inverse=True, return_counts=True)
+    by_name = np.argsort(name_of, kind="stable")
+    by_name = by_name[shared[name_of[by_name]] > 1]
+    keeps = np.flatnonzero(~whole)
+    keeps = keeps[np.argsort(string_of[keeps], kind="stable")]
+    low = 0
+    while low < len(by_name):
+        high = np.searchsorted(name_of[by_name], name_of[by_name[min(low + INDEXED, len(by_name)) - 1]], "right")
+        together, low = by_name[low:high], high
+        marked = RunIndex([distinct[i] for i in together], owner[together], length).smaller_matches(owner[together])
+        string, window = np.nonzero(marked)
+        first, last = (np.searchsorted(string_of[keeps], together[string], side) for side in ("left", "right"))
+        times = last - first
+        entry = keeps[np.repeat(first - (np.cumsum(times) - times), times) + np.arange(times.sum())]
+        out[0].append(ids[entry])
+        out[1].append(places[entry] + np.repeat(window, times))
+        out[2].append(places[entry] + np.repeat(window, times) + length)
     return tuple(_joined(x) for x in out)
 
 
@@ -434,25 +481,21 @@ def _solve(groups: int, length: int):
         at, parts = None, []
 
         def close():
-            ids, places, strings = [], [], []
-            for some, where, sizes, content in parts:
-                ids.append(some)
-                places.append(where)
-                ends = np.cumsum(sizes)
-                strings += [content[a:b] for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)]
-            some, low, high = _merged(*bucket_losses(_joined(ids), _joined(places), strings, length))
+            ids, places, names, sizes, contents = zip(*parts, strict=True)
+            strings = [string for one, content in zip(sizes, contents, strict=True) for string in _pieces(content, one)]
+            some, low, high = _merged(*bucket_losses(_joined(ids), _joined(places), _joined(names), strings, length))
             return _told(group_of(some, groups), some, low, high)
 
         for batch in batches:
             for row in range(batch.num_rows):
                 key = batch.column("key")[row].as_py()
-                ids, xs, ys, sizes = (batch.column(c)[row].values.to_numpy(zero_copy_only=False).astype(np.int64) for c in ("ids", "xs", "ys", "sizes"))
+                ids, xs, ys, sizes, names = (_values(batch, c, row) for c in ("ids", "xs", "ys", "sizes", "names"))
                 if key != at:
                     if parts:
                         yield close()
                     at, parts = key, []
                 if batch.column("kind")[row].as_py() == ASKED:
-                    parts.append((ids, xs, sizes, batch.column("bytes")[row].as_py()))
+                    parts.append((ids, xs, names, sizes, _unpacked(batch.column("bytes")[row], sizes)))
                 else:
                     ids, xs, ys = _merged(ids, xs, ys)
                     yield _told(group_of(ids, groups), ids, xs, ys)
@@ -472,7 +515,6 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for told, rows in _grouped(batches):
         out = []
         for id, text in rows:
-            text = text.encode()
             low, high = _of(told, id)
             _, low, high = _merged(np.zeros(len(low), np.int64), low, high)
             edges = [0, *np.stack([low, high], axis=1).reshape(-1).tolist(), len(text)]
@@ -494,7 +536,7 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", leng
 
     sent = named.mapInArrow(_ask(buckets, length), NAMES)
     told = _by_key(sent).mapInArrow(_answer(groups), TOLD)
-    rows = named.select(group_column(F.col("id"), groups).alias("key"), F.lit(KNOWN).alias("kind"), "id", "text")
+    rows = named.mapInArrow(_pack(groups), PACKED)
     strings = _by_key(told.unionByName(rows, allowMissingColumns=True)).mapInArrow(_send(buckets, groups, length), STRINGS)
     losses = _by_key(strings).mapInArrow(_solve(groups, length), TOLD)
     cut = _by_key(losses.unionByName(rows, allowMissingColumns=True)).mapInArrow(_cut, KEPT)
