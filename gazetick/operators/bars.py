@@ -145,7 +145,8 @@ def rolling_features(blocks: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame
     second = {f"MA_{n}": r.mean("close", n) for n in MA_WINDOWS}
     # The bands divide by a spread that can be 0: their middle is a mean over the frame, without the
     # remainder that a difference of running sums leaves on a flat price.
-    second["MA_20"] = F.when(r.full("close", 20), r.over(F.avg("close"), 20))
+    flat = r.over(F.max("close"), 20) == r.over(F.min("close"), 20)
+    second["MA_20"] = F.when(r.full("close", 20), F.when(flat, close).otherwise(r.over(F.avg("close"), 20)))
     second |= {f"volume_MA_{n}": r.mean("volume", n) for n in VOLUME_WINDOWS}
     second["_std_20"] = F.when(r.full("close", 20), F.col("_std_20"))
     for n in RANGE_WINDOWS:
