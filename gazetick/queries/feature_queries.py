@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from gazetick.functions.text import STOPWORDS, avg_word_length, char_count, clean_and_tokenize
 from gazetick.operators import models as M
 from gazetick.operators import textfeatures as T
+from gazetick.operators.annotate import embed_text
 from gazetick.queries import sqltext as S
 from gazetick.queries.registry import query, r6, sql_r6, table
 from gazetick.session import stage
@@ -253,3 +255,38 @@ def binary_eval(spark, sf):
 )
 def multiclass_eval(spark, sf):
     return M.multiclass_eval(table(spark, sf, "embeddings"), "embedding", "label").select(r6("accuracy").alias("accuracy"))
+
+
+# --- embeddings and sequence models; trained in the job, so checked by rows and invariants ---------
+
+
+@query("embed_text")
+def embed_text_query(spark, sf):
+    """Vectors of all documents by reduced TF-IDF."""
+    embedded = embed_text(table(spark, sf, "documents").select("doc_id", "text"), "doc_id", "text", size=16, max_features=300)
+    return embedded.select("doc_id", "embedding")
+
+
+VECTOR_SIZE = 16
+
+
+def token_rows(spark, sf):
+    labels = table(spark, sf, "labels").select("doc_id", F.col("quality").alias("y"))
+    docs = table(spark, sf, "documents").select("doc_id", clean_and_tokenize(F.col("text")).alias("tokens"))
+    return stage(docs.join(labels, "doc_id", "left"))
+
+
+@query("token_embedding")
+def token_embedding(spark, sf):
+    vectors = M.token_embedding(token_rows(spark, sf), "tokens", VECTOR_SIZE)
+    return vectors.select("word", vector_to_array("vector").alias("vector"))
+
+
+@query("token_classifier")
+def token_classifier(spark, sf):
+    """Quality of all documents from pooled token vectors, learned from the labelled ones."""
+    docs = token_rows(spark, sf)
+    vectors = stage(M.token_embedding(docs, "tokens", VECTOR_SIZE))
+    features = M.token_features(docs, "doc_id", "tokens", vectors, VECTOR_SIZE)
+    model = M.token_classifier(features.filter("y is not null"))
+    return M.predict(model, features).select("doc_id", "y", "prediction")
