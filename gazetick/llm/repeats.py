@@ -39,6 +39,8 @@ STRING_WINDOWS = 32
 PIECE = 1 << 17
 #: Text that a bucket, and a group of documents, stands for.
 BUCKET_BYTES = 1 << 24
+#: Text whose strings a task gathers before it sends them.
+SENT_BYTES = 1 << 22
 #: Documents of a name beyond which its windows are spread.
 CROWDED = 20_000
 ASKED, KNOWN = 0, 1
@@ -276,15 +278,44 @@ def _of(told, id: int):
 
 
 def _send(buckets: int, groups: int, length: int):
-    """Strings of repeated names to their buckets. Equal strings of a batch go once, for the smallest
-    document among them; the others are known to lose theirs."""
+    """Strings of repeated names to their buckets. Equal strings of about ``SENT_BYTES`` of text go once,
+    for the smallest document among them; the others are known to lose theirs."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[int, bytes], list] = {}
+        named: dict[tuple[int, bytes], int] = {}
+        lost: list[tuple[int, int, int]] = []
+        size = 0
+
+        def close() -> Iterator[pa.RecordBatch]:
+            by_bucket: dict[int, list] = {}
+            for (bucket, string), (id, *places) in held.items():
+                by_bucket.setdefault(bucket, []).append((named[bucket, string], string, id, places))
+            out = []
+            for bucket, entries in by_bucket.items():
+                entries.sort(key=lambda e: e[:2])  # strings of one name overlap, and shrink best side by side
+                ids = [id for _, _, id, places in entries for _ in places]
+                at = [place for *_, places in entries for place in places]
+                names = [called for called, _, _, places in entries for _ in places]
+                strings = [string for _, string, _, places in entries for _ in places]
+                out.append((bucket, ASKED, ids, at, [], names, list(map(len, strings)), _packed(strings)))
+            if lost:
+                ids, low, high = map(list, zip(*lost, strict=True))
+                out.append((ids[0] % buckets, KNOWN, ids, low, high, [], [], b""))
+            if out:
+                kinds = (pa.int64(), pa.int32(), _LONGS, _LONGS, _LONGS, _LONGS, _LONGS, pa.binary())
+                columns = [pa.array(list(c), kind) for c, kind in zip(zip(*out, strict=True), kinds, strict=True)]
+                yield pa.record_batch(columns, names=["key", "kind", "ids", "xs", "ys", "names", "sizes", "bytes"])
+            held.clear()
+            named.clear()
+            lost.clear()
+
         for told, rows in _grouped(batches):
-            held: dict[tuple[int, bytes], list] = {}
-            named: dict[tuple[int, bytes], int] = {}
-            lost: list[tuple[int, int, int]] = []
             for id, text in rows:
+                if size > SENT_BYTES:
+                    yield from close()
+                    size = 0
+                size += len(text)
                 names, crowded = _of(told, id)
                 if not len(names):
                     continue
@@ -309,23 +340,7 @@ def _send(buckets: int, groups: int, length: int):
                         else:
                             lost += [(mine[0], x, x + len(string)) for x in mine[1:]]
                             held[key, string] = [id, first]
-            by_bucket: dict[int, list] = {}
-            for (bucket, string), (id, *places) in held.items():
-                by_bucket.setdefault(bucket, []).append((id, places, named[bucket, string], string))
-            out = []
-            for bucket, entries in by_bucket.items():
-                ids = [id for id, places, *_ in entries for _ in places]
-                at = [place for _, places, *_ in entries for place in places]
-                names = [called for _, places, called, _ in entries for _ in places]
-                strings = [string for _, places, _, string in entries for _ in places]
-                out.append((bucket, ASKED, ids, at, [], names, list(map(len, strings)), _packed(strings)))
-            if lost:
-                ids, low, high = map(list, zip(*lost, strict=True))
-                out.append((ids[0] % buckets, KNOWN, ids, low, high, [], [], b""))
-            if out:
-                kinds = (pa.int64(), pa.int32(), _LONGS, _LONGS, _LONGS, _LONGS, _LONGS, pa.binary())
-                columns = [pa.array(list(c), kind) for c, kind in zip(zip(*out, strict=True), kinds, strict=True)]
-                yield pa.record_batch(columns, names=["key", "kind", "ids", "xs", "ys", "names", "sizes", "bytes"])
+        yield from close()
 
     return send
 

@@ -66,6 +66,7 @@ def test_crowded_names_are_spread(spark, monkeypatch):
     monkeypatch.setattr(R, "CROWDED", 3)
     monkeypatch.setattr(R, "BUCKET_BYTES", 4000)
     monkeypatch.setattr(R, "INDEXED", 3)
+    monkeypatch.setattr(R, "SENT_BYTES", 700)
     check(spark, corpus(3))
 
 
