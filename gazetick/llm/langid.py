@@ -263,9 +263,12 @@ LEARNED_TOGETHER = 40
 
 def training_words(labelled: DataFrame, id: str, text: str, lang: str, per_language: int) -> DataFrame:
     """``lang, word, n`` over the sample. At most ``per_language`` ids a language are broadcast."""
-    picked = Window.partitionBy(lang).orderBy(F.xxhash64(id), id)
-    ids = labelled.select(id, lang).filter(F.col(lang).isNotNull())
-    ids = ids.withColumn("_rank", F.row_number().over(picked)).filter(F.col("_rank") <= per_language).select(id).distinct()
+    ids = labelled.select(id, F.col(lang).alias("_lang"), F.xxhash64(id).alias("_hash")).filter("_lang is not null")
+    # First the best of each of 64 parts of a language, then of these: no task sees a whole language.
+    for scope in (["_lang", F.pmod("_hash", F.lit(64))], ["_lang"]):
+        picked = Window.partitionBy(*scope).orderBy("_hash", id)
+        ids = ids.withColumn("_rank", F.row_number().over(picked)).filter(F.col("_rank") <= per_language)
+    ids = ids.select(id).distinct()
     sample = labelled.join(F.broadcast(ids), id).filter(F.col(lang).isNotNull())
     words = sample.select(F.col(lang).alias("lang"), F.explode(F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), F.lit(0))).alias("word"))
     return words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
