@@ -26,6 +26,8 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gazetick.llm.common import small_batches
+
 #: Characters of a leaf, tokens of a leaf in decoding, and the first window's reach on either side.
 LEAF = 4096
 REACH = 32
@@ -91,6 +93,7 @@ class Tokenizer:
     """Column functions for one rank file, which the driver reads and broadcasts (about 1 MB, fixed)."""
 
     def __init__(self, spark: SparkSession, path: str, pattern: str, leaf: int = LEAF):
+        small_batches(spark)
         with open(path, "rb") as file:
             self.content: Broadcast = spark.sparkContext.broadcast(file.read())
         self.pattern, self.leaf = pattern, leaf
@@ -108,7 +111,7 @@ class Tokenizer:
                 rows = [encode_tree(t.as_py() or "", encoding.encode_to_numpy, leaf=leaf) for t in texts]
                 ends = np.cumsum([0] + [len(r) for r in rows])
                 tokens = np.concatenate(rows) if rows else np.empty(0)
-                yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(tokens.astype(np.int32)))
+                yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(tokens.astype(np.uint32).view(np.int32)))
 
         return bpe_encode(text)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -11,6 +11,20 @@ BROADCAST_ROWS = 50_000
 SALTS = 64
 
 
+#: Rows that a Python worker gets at once. Whole documents are large rows; Spark's default is 10,000.
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to ``BATCH_ROWS``, so that workers hold a few MB of text each.
+
+    This bounds memory and changes no result; a smaller setting of the session's own stays.
+    """
+    if not 0 < int(spark.conf.get(_BATCH)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
+
+
 def hash_unit(column: Column, seed: int) -> Column:
     """Number in [0, 1) that depends on the value and the seed alone: 52 bits of a SHA-256."""
     text = F.concat(F.lit(f"{seed}:"), F.coalesce(column.cast("string"), F.lit("")))

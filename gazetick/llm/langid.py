@@ -25,6 +25,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gazetick.llm.common import small_batches
 from gazetick.session import stage
 
 UNKNOWN = "und"
@@ -315,6 +316,7 @@ def train(
 def predict(spark: SparkSession, model: Model, text: Column | str) -> Column:
     """``struct<lang string, score double>`` of the whole text."""
     sent = model.share(spark)
+    small_batches(spark)
 
     @F.arrow_udf("struct<lang: string, score: double>")
     def language(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

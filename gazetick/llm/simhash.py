@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gazetick.llm.common import small_batches
 from gazetick.plans.components import connected_components
 from gazetick.session import stage
 
@@ -165,6 +166,7 @@ def near_links(points: DataFrame, block: int = BLOCK) -> DataFrame:
 
 def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``id, fp``, one row per row of ``docs``."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col(id).alias("id"), fingerprint_column(F.col(text)).alias("fp"))
 
 
