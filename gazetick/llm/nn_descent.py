@@ -9,8 +9,10 @@ on if it improves a list; a pair at or above the threshold is a link, whether or
 A list filled with links is saturated: more links may exist than it holds. It is enlarged to its
 whole component, which is compared block by block, and only the numbers of links leave the tasks.
 
-Recall is audited: for a sample of vectors all their links are found by brute force. Below the
-wanted recall the search goes on from fresh sort orders.
+Recall is audited: for vectors in the order of a hash all their links are found by brute force, until
+enough links were judged or all vectors were asked; then the links are whole. Below the wanted recall
+the search goes on from fresh sort orders. If these find nothing new, all vectors are asked. So a table
+with few links is compared whole, which is quadratic.
 
 Equal vectors are one point with a multiplicity; they link to each other and share all other links.
 Vectors that are null, empty, zero, or hold null or non-finite components link with nothing. Shorter
@@ -20,6 +22,7 @@ vectors count as padded with zeros. Ids must be unique. Cosines are computed in
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +39,10 @@ ORDERS, FOLLOWING = 8, 8
 ROUNDS = 3
 #: A search ends when fewer than this part of the list entries is new.
 SETTLED = 0.01
-#: Vectors the audit asks for, the recall it wants, and the searches after which it gives up.
-AUDITED, RECALL, SEARCHES = 256, 0.99, 4
+#: The recall the audit wants, and the links it judges at least where there are so many.
+RECALL, JUDGED = 0.99, 1000
+#: Vectors the audit asks for at first; twice as many each time, up to a bound, as every task gets them.
+AUDITED, ASKED_AT_ONCE = 256, 4096
 BLOCK = 1024
 PAIRS = "a long, b long, cosine double"
 CLOSED = 2.0  # a bound no cosine can beat
@@ -204,28 +209,63 @@ def enlarged_counts(points: DataFrame, width: int, threshold: float) -> DataFram
     return ordered.mapInArrow(_count_block(width, threshold), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
-def audit(points: DataFrame, classes: DataFrame, links: DataFrame, width: int, threshold: float) -> float:
-    """Part of the sampled vectors' links, by brute force, that were found; 1 if they have none.
-
-    The sample is at most ``AUDITED`` vectors, which every task gets; a pair of one enlarged component counts as found.
-    """
-    sample = points.select("id", "v").orderBy(F.xxhash64("id", F.lit(5)), "id").limit(AUDITED).toArrow()
-    names, asked = sample.column("id").to_numpy(), unit(matrix(sample.column("v"), width))
+def _brute_force(asked: pa.Table, width: int, threshold: float):
+    """``a, b, n``: links of the asked vectors, where ``n`` is 1; those inside an enlarged component are only counted."""
+    names, units = asked.column("id").to_numpy(), unit(matrix(asked.column("v"), width))
+    roots, dense = asked.column("root").to_numpy(), asked.column("dense").to_numpy(zero_copy_only=False).astype(bool)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("id").to_numpy()
-            cosine = asked @ unit(matrix(batch.column("v"), width)).T
-            a, b = np.nonzero((cosine >= threshold) & (names[:, None] != ids[None, :]))
-            yield _pairs([names[a]], [ids[b]], [cosine[a, b]])
+            for low in range(0, batch.num_rows, BLOCK):
+                rows = batch.slice(low, BLOCK)
+                ids, root = rows.column("id").to_numpy(), rows.column("root").to_numpy()
+                cosine = units @ unit(matrix(rows.column("v"), width)).T
+                a, b = np.nonzero((cosine >= threshold) & (names[:, None] != ids[None, :]))
+                inside = dense[a] & (roots[a] == root[b])
+                a, b, counted = a[~inside], b[~inside], int(inside.sum())
+                columns = [pa.array([*x.tolist(), None], pa.int64()) for x in (names[a], ids[b])]
+                yield pa.record_batch([*columns, pa.array([1] * len(a) + [counted], pa.int64())], names=["a", "b", "n"])
+
+    return scan
+
+
+def judge(points: DataFrame, classes: DataFrame, links: DataFrame, width: int, threshold: float, wanted: float) -> tuple[float, bool, DataFrame]:
+    """``recall, whole, missed``: the part of the asked vectors' links, by brute force, that were found, whether
+    all vectors were asked, and the links not found, ``a, b``. Without any link the recall is 1.
+
+    Vectors are asked until ``wanted`` links were judged or none is left. A pair of one enlarged component
+    counts as found.
+    """
+    placed = stage(points.select("id", "v").join(classes.select("id", "root", "dense"), "id").withColumn("at", F.xxhash64("id", F.lit(5))))
+    left, size, total, found = placed, AUDITED, 0, 0
+    whole, missed = False, links.limit(0)
+    while total < wanted and not whole:
+        asked = left.orderBy("at", "id").limit(size).toArrow()  # at most ASKED_AT_ONCE rows
+        whole = asked.num_rows < size
+        if not asked.num_rows:
+            break
+        true = stage(placed.select("id", "v", "root").mapInArrow(_brute_force(asked, width, threshold), "a long, b long, n long"))
+        unseen = true.filter("a is not null").select("a", "b").join(links, ["a", "b"], "left_anti")
+        here, lost = true.agg(F.sum("n")).first()[0], unseen.count()
+        total, found = total + here, found + here - lost
+        missed = missed.union(unseen) if lost else missed
+        at, id = asked.column("at")[-1].as_py(), asked.column("id")[-1].as_py()
+        left = placed.filter((F.col("at") > at) | (F.col("at") == at) & (F.col("id") > id))
+        size = min(size * 2, ASKED_AT_ONCE)
+    return found / total if total else 1.0, whole, missed
+
+
+def audit(points: DataFrame, classes: DataFrame, links: DataFrame, width: int, threshold: float) -> float:
+    """The recall of ``links``, measured on ``JUDGED`` true links or on all there are."""
+    return judge(points, classes, links, width, threshold, JUDGED)[0]
+
 
-    true = points.select("id", "v").mapInArrow(scan, PAIRS)
-    dense = classes.filter("dense").select("id", "root")
-    here, there = (dense.select(F.col("id").alias(x), F.col("root").alias(f"{x}_root")) for x in ("a", "b"))
-    seen = links.withColumn("seen", F.lit(True))
-    judged = true.join(seen, ["a", "b"], "left").join(here, "a", "left").join(there, "b", "left")
-    total, found = judged.agg(F.count(F.lit(1)), F.count_if(F.col("seen") | (F.col("a_root") == F.col("b_root")))).first()
-    return found / total if total else 1.0
+def _classes(points: DataFrame, links: DataFrame, lists: DataFrame, threshold: float, k: int) -> DataFrame:
+    """``id, root, dense``: components, and whether one of their lists is filled with links."""
+    roots = stage(connected_components(links.filter("a < b"), points.select("id")))
+    held = lists.filter(F.col("cosine") >= threshold).groupBy("a").agg(F.count(F.lit(1)).alias("held")).filter(F.col("held") >= k)
+    crowded = roots.join(held.select(F.col("a").alias("id")), "id").select("root").distinct().withColumn("dense", F.lit(True))
+    return stage(roots.join(crowded, "root", "left").select("id", "root", F.coalesce("dense", F.lit(False)).alias("dense")))
 
 
 def near_duplicates(
@@ -237,17 +277,22 @@ def near_duplicates(
     good = every.filter(usable(F.col("v"))).filter(F.exists("v", lambda x: x != 0))
     points = stage(good.groupBy("v").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies")))
     n, width = points.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("v")), F.lit(1))).first()
-    links = spark.createDataFrame([], "a long, b long")
-    for attempt in range(SEARCHES):
+    links, known = spark.createDataFrame([], "a long, b long"), 0
+    for attempt in count():
         lists, found = search(points, n, width, threshold, k, seed + attempt, rounds)
         both = found.union(found.select("b", "a"))
         links = stage(links.union(both).distinct())
-        roots = stage(connected_components(links.filter("a < b"), points.select("id")))
-        held = lists.filter(F.col("cosine") >= threshold).groupBy("a").agg(F.count(F.lit(1)).alias("held")).filter(F.col("held") >= k)
-        crowded = roots.join(held.select(F.col("a").alias("id")), "id").select("root").distinct().withColumn("dense", F.lit(True))
-        classes = stage(roots.join(crowded, "root", "left").select("id", "root", F.coalesce("dense", F.lit(False)).alias("dense")))
-        if audit(points, classes, links, width, threshold) >= RECALL:
+        classes = _classes(points, links, lists, threshold, k)
+        known, before = links.count(), known
+        recall, whole, missed = judge(points, classes, links, width, threshold, JUDGED)
+        if recall < RECALL and not whole and known == before:
+            _, whole, missed = judge(points, classes, links, width, threshold, float("inf"))
+        if recall >= RECALL or whole:
             break
+    # Links that only the audit saw are links too; where it asked for all vectors, nothing is missing then.
+    if not missed.isEmpty():
+        links = stage(links.union(missed).union(missed.select("b", "a")).distinct())
+        classes = _classes(points, links, lists, threshold, k)
     members = classes.filter("dense").groupBy("root").agg(F.count(F.lit(1)).alias("members"))
     inside = classes.filter("dense").join(members, "root").join(points, "id")
     sparse = links.join(classes.filter(~F.col("dense")).select(F.col("id").alias("a")), "a")

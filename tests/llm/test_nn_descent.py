@@ -74,3 +74,23 @@ def test_audit_sees_what_is_missing(spark):
     assert N.audit(frame, classes, none, 24, 0.95) == 0.0
     alone = frame.limit(1)
     assert N.audit(alone, classes, none, 24, 0.95) == 1.0
+
+
+def nothing(points, n, width, threshold, k, seed, rounds):
+    spark = points.sparkSession
+    return spark.createDataFrame([], "a long, b long, cosine double, fresh boolean"), spark.createDataFrame([], "a long, b long")
+
+
+@pytest.mark.parametrize("judged", [1000, 3])
+def test_links_that_no_search_meets(spark, monkeypatch, judged):
+    # 3 links are judged first, then, as no search finds any, all; with 1,000 all vectors are asked at once.
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=24).tolist()) for i in range(300)]
+    rows += [(1000 + i, (1.01 * np.array(rows[i][1]) + 0.01).tolist()) for i in range(0, 300, 60)]
+    monkeypatch.setattr(N, "search", nothing)
+    monkeypatch.setattr(N, "AUDITED", 16)
+    monkeypatch.setattr(N, "JUDGED", judged, raising=False)
+    frame = spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA)
+    got = {r.id: (r.n_links, r.root) for r in N.near_duplicates(frame).collect()}
+    assert got == by_hand(rows)
+    assert sum(n for n, _ in got.values()) == 10
