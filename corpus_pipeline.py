@@ -5,7 +5,8 @@ last return the columns of documents, and columns beyond these are dropped at th
 
 1. ``language``: documents without a determinable language go (null texts, texts without a letter);
    the model is learned from the labelled rows that are not held out. A missing label is filled in.
-2. ``near_duplicates``: of each group of near copies the document with the smallest id stays.
+2. ``near_duplicates``: of each group of near copies the document with the smallest id stays;
+   documents without an id stay, each for itself.
 3. ``secrets``: secrets are masked inside the texts; documents stay.
 4. ``mixing``: sources are repeated or thinned towards their target weights.
 5. ``tokens``: per row of the mix the number of its tokens and digests of tokens and decoded bytes.

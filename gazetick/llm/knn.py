@@ -9,8 +9,8 @@ the best of all groups are ranked. Ties at the bound are kept, so results are ex
 Groups and query sets are cut into blocks of at most about ``BLOCK`` rows by a hash of the id, so a
 crowded pivot is many tasks. What is broadcast are pivots and summaries, at most ``PIVOTS`` rows.
 
-Vectors that are null, empty, or hold null or non-finite components take no part. Shorter vectors
-count as padded with zeros. Ids must be unique; ties in score go to the smaller id. No candidates:
+Vectors that are null, empty, or hold null or non-finite components, and rows without an id, take no
+part. Shorter vectors count as padded with zeros. Ids must be unique; ties in score go to the smaller id. No candidates:
 no rows. Copies are candidates like any other.
 """
 
@@ -140,7 +140,7 @@ def _solve(k: int, width: int, final: bool):
 def top_k(vectors: DataFrame, is_query: Column, k: int, id: str = "vec_id", vector: str = "embedding", scale: float = 64.0) -> DataFrame:
     """``query_id, rank, id, score``: for every row where ``is_query`` holds, its k best other rows."""
     spark = vectors.sparkSession
-    whole = stage(vectors.filter(usable(F.col(vector))).select(F.col(id).cast("bigint").alias("id"), scaled(F.col(vector), scale).alias("v"), is_query.alias("asks")))
+    whole = stage(vectors.filter(F.col(id).isNotNull() & usable(F.col(vector))).select(F.col(id).cast("bigint").alias("id"), scaled(F.col(vector), scale).alias("v"), is_query.alias("asks")))
     rows, width, asking = whole.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("v")), F.lit(1)), F.count_if("asks")).first()
     result = "query_id long, id long, score long"
     if not rows:

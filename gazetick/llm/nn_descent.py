@@ -16,7 +16,8 @@ with few links is compared whole, which is quadratic.
 
 Equal vectors are one point with a multiplicity; they link to each other and share all other links.
 Vectors that are null, empty, zero, or hold null or non-finite components link with nothing. Shorter
-vectors count as padded with zeros. Ids must be unique. Cosines are computed in double precision.
+vectors count as padded with zeros. Ids must be unique. Rows without an id take no part: each is kept with no
+links and no root. Cosines are computed in double precision.
 """
 
 from __future__ import annotations
@@ -274,7 +275,8 @@ def near_duplicates(
     """``id, n_links, root`` of every row: linked other rows, and the smallest id reachable over links."""
     spark = vectors.sparkSession
     every = vectors.select(F.col(id).cast("bigint").alias("id"), F.col(vector).alias("v"))
-    good = every.filter(usable(F.col("v"))).filter(F.exists("v", lambda x: x != 0))
+    fit = F.col("id").isNotNull() & usable(F.col("v")) & F.coalesce(F.exists("v", lambda x: x != 0), F.lit(False))
+    good = every.filter(fit)
     points = stage(good.groupBy("v").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies")))
     n, width = points.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("v")), F.lit(1))).first()
     links, known = spark.createDataFrame([], "a long, b long"), 0
@@ -301,5 +303,5 @@ def near_duplicates(
     solved = points.join(counts, "id", "left").join(classes, "id")
     solved = solved.select("v", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "root")
     rows = good.join(solved, "v").select("id", "n_links", "root")
-    alone = every.filter(~(usable(F.col("v")) & F.coalesce(F.exists("v", lambda x: x != 0), F.lit(False))))
+    alone = every.filter(~fit)
     return rows.unionByName(alone.select("id", F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("root")))

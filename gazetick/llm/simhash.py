@@ -12,7 +12,8 @@ links, never all pairs; a crowded cell is cut into blocks, and every two blocks
 their own. All of it is exact: no cell, bucket or partner is capped.
 
 Nulls and texts without words have fingerprint 0 and are linked like any other. Repeated ids and
-texts, ties and empty tables need no special rule. Columns other than id and text are not read.
+texts, ties and empty tables need no special rule. A row without an id takes no part in the search: it
+has its fingerprint and no root, and is kept. Columns other than id and text are not read.
 """
 
 from __future__ import annotations
@@ -171,16 +172,19 @@ def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``id, fp, root``: root is the smallest id reachable over links, itself included."""
+    """``id, fp, root``: root is the smallest id reachable over links, itself included; null without an id."""
     prints = stage(fingerprints(docs, id, text))
-    points = stage(prints.groupBy("fp").agg(F.min("id").alias("rep")))
+    named, nameless = prints.filter("id is not null"), prints.filter("id is null")
+    points = stage(named.groupBy("fp").agg(F.min("id").alias("rep")))
     links = stage(near_links(points))
     roots = connected_components(links, points.select(F.col("rep").alias("id")))
     classes = points.join(roots, points.rep == roots.id).select("fp", "root")
-    return prints.join(classes, "fp").select("id", "fp", "root")
+    alone = nameless.select("id", "fp", F.lit(None).cast(prints.schema["id"].dataType).alias("root"))
+    return named.join(classes, "fp").select("id", "fp", "root").unionByName(alone)
 
 
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The document with the smallest id of every group, columns unchanged; one row of an id stays."""
+    """The document with the smallest id of every group, columns unchanged; one row of an id stays, and all without one."""
     kept = near_duplicates(docs, id, text).filter("id = root").select(F.col("id").alias(id)).distinct()
-    return docs.join(kept, id, "left_semi").dropDuplicates([id])
+    named = docs.join(kept, id, "left_semi").dropDuplicates([id])
+    return named.unionByName(docs.filter(F.col(id).isNull()))

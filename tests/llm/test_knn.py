@@ -66,3 +66,9 @@ def test_few_rows(spark):
 def test_large_components_stay_exact():
     big = np.array([[2**40 + 1, 3]])
     assert K.products(big, np.array([[2**20 + 1, 5]])).tolist() == [[(2**40 + 1) * (2**20 + 1) + 15]]
+
+
+def test_rows_without_an_id(spark):
+    rows = vectors(2, n=40)
+    want = by_hand(rows, 5, 5)
+    assert run(spark, rows + [(None, rows[0][1]), (None, rows[3][1]), (None, None)], 5, 5) == want

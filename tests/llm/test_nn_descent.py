@@ -94,3 +94,10 @@ def test_links_that_no_search_meets(spark, monkeypatch, judged):
     got = {r.id: (r.n_links, r.root) for r in N.near_duplicates(frame).collect()}
     assert got == by_hand(rows)
     assert sum(n for n, _ in got.values()) == 10
+
+
+def test_rows_without_an_id(spark):
+    rows = [(7, [1.0, 2.0]), (None, [1.0, 2.0]), (4, [1.0, 2.1]), (None, [5.0, -1.0]), (None, None)]
+    frame = spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA)
+    got = sorted(map(tuple, N.near_duplicates(frame).collect()), key=str)
+    assert got == sorted([(7, 1, 4), (4, 1, 4), (None, 0, None), (None, 0, None), (None, 0, None)], key=str)

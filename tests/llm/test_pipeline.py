@@ -69,3 +69,10 @@ def test_stages_against_brute_force(spark, tmp_path):
 def test_empty(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
     assert C.run(spark, str(tmp_path)).count() == 0
+
+
+def test_near_duplicates_keep_documents_without_an_id(spark, tmp_path):
+    rows = [(None, "one clean text", "en", "a", 1), (None, "another clean text", "en", "a", 1), (3, "one clean text", "en", "a", 1), (4, "one clean text", "en", "a", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = C.near_duplicates(spark, docs, str(tmp_path)).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted(rows[:3], key=str)

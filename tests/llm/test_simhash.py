@@ -118,3 +118,18 @@ def test_documents(spark):
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, root in want.items() if i == root)
     assert S.near_duplicates(docs.limit(0)).count() == 0 and S.keep_one(docs.limit(0)).count() == 0
+
+
+def test_rows_without_an_id(spark):
+    text = " ".join(f"w{i}" for i in range(400))
+    rows = [(5, text), (None, text), (None, text + " changed"), (None, "quite another text"), (9, text + " changed"), (None, None)]
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA)
+    want = classes_by_hand({i: fingerprint_by_hand(t) for i, t in rows if i is not None})
+    got = S.near_duplicates(docs).collect()
+    prints = sorted(fingerprint_by_hand(t) for _, t in rows)
+    assert sorted(r.fp % 2**64 for r in got) == prints
+    assert {r.id: r.root for r in got if r.id is not None} == want
+    assert [r.root for r in got if r.id is None] == [None] * 4
+    kept = S.keep_one(docs).collect()
+    assert sorted(r.doc_id for r in kept if r.doc_id is not None) == sorted({r for r in want.values()})
+    assert sorted(str(r.text) for r in kept if r.doc_id is None) == sorted(str(t) for i, t in rows if i is None)
