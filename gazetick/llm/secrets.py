@@ -3,8 +3,8 @@
 Base kinds are found by pattern; ``entropy`` adds candidate strings in which a sliding window of
 ``WINDOW`` characters reaches the Shannon entropy of its character class. The window's counts are
 kept incrementally, one character in and one out, and so is the sum of c log2(c). Candidates on the
-allow-list (words, slugs, numbers, UUIDs and further patterns a caller names) are suppressed, and so
-are spans inside a base span.
+allow-list (words, slugs of parts that are all letters or all digits, numbers, UUIDs and further
+patterns a caller names) are suppressed, and so are spans inside a base span.
 
 A span is the whole match in code points, end exclusive. A null text counts as empty. Rows are
 independent, so ties, repeated rows and empty tables need no rule; other columns pass through, and a
@@ -35,7 +35,7 @@ HEX_BITS, OTHER_BITS = 3.03, 3.83
 #: Candidates that are no secrets, by full match.
 ALLOWED = (
     r"[A-Za-z]+",
-    r"[a-z0-9]+([-_/=][a-z]*)*",
+    r"([a-z]+|[0-9]+)([-_/=]([a-z]+|[0-9]+)?)*",
     r"[A-Z]+([-_/=][A-Z]*)*",
     r"[0-9+/=_-]+",
     r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}",
