@@ -97,6 +97,10 @@ def short(name: np.ndarray) -> np.ndarray:
     return (name & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
 
 
+def _unsigned(short_name: np.ndarray) -> np.ndarray:
+    return short_name.astype(np.int64) & 0xFFFFFFFF
+
+
 def bucket_of(name: np.ndarray, buckets: int) -> np.ndarray:
     return ((name >> _HALF) % np.uint64(buckets)).astype(np.int64)
 
@@ -168,7 +172,7 @@ def _told(key, ids, xs, ys) -> pa.RecordBatch:
 
 
 def _answer(groups: int):
-    """Rows sorted by bucket, asked names first: tells groups of documents their repeated names, and which are crowded."""
+    """Rows sorted by bucket, asked names first: tells groups of documents their repeated names, and of the crowded ones their bucket plus one."""
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, asked, crowded = None, [], np.empty(0, np.int64)
@@ -181,7 +185,7 @@ def _answer(groups: int):
             sizes = np.diff(np.append(starts, len(names)))
             repeated = np.repeat(np.minimum.reduceat(ids, starts) < np.maximum.reduceat(ids, starts), sizes)
             many = np.add.reduceat(docs, starts) > CROWDED
-            tell = np.repeat(many, sizes).astype(np.int64)
+            tell = np.repeat(many, sizes) * (at + 1)
             return names[starts][many], _told(group_of(ids[repeated], groups), ids[repeated], names[repeated], tell[repeated])
 
         for batch in batches:
@@ -199,7 +203,7 @@ def _answer(groups: int):
                     crowded, told = close()
                     yield told
                     asked = []
-                yield _told(group_of(ids, groups), ids, names, np.isin(names, crowded).astype(np.int64))
+                yield _told(group_of(ids, groups), ids, names, np.isin(names, crowded) * (at + 1))
         if asked:
             yield close()[1]
 
@@ -321,8 +325,10 @@ def _send(buckets: int, groups: int, length: int):
                     continue
                 start, end, name = string_runs(text, length)
                 chosen = np.flatnonzero(np.isin(short(name), names))
-                spread = np.isin(short(name[chosen]), names[crowded > 0]) if crowded.any() else np.zeros(len(chosen), bool)
-                pieces = zip(bucket_of(name[chosen], buckets).tolist(), start[chosen].tolist(), end[chosen].tolist(), spread.tolist(), short(name[chosen]).tolist(), strict=True)
+                bucket = bucket_of(name[chosen], buckets)
+                # A short name is told from others of its bucket only; another bucket's equal one must not be spread.
+                spread = np.isin(bucket << 32 | _unsigned(short(name[chosen])), crowded[crowded > 0] - 1 << 32 | _unsigned(names[crowded > 0]))
+                pieces = zip(bucket.tolist(), start[chosen].tolist(), end[chosen].tolist(), spread.tolist(), short(name[chosen]).tolist(), strict=True)
                 for bucket, low, high, alone, called in pieces:
                     for first in range(low, high) if alone else (low,):
                         string = text[first : (first + 1 if alone else high) + length - 1]

@@ -121,3 +121,16 @@ def test_query_digest(spark):
     for r in op9_repeats(spark, sf).collect():
         size, ranges, kept = want[r.doc_id]
         assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == (size, size - len(kept), len(ranges), hashlib.sha256(kept).hexdigest())
+
+
+def test_a_crowded_name_spreads_no_other_bucket(spark, monkeypatch):
+    # Short names of 3 bits: crowded names collide with names of other buckets that few documents have.
+    monkeypatch.setattr(R, "CROWDED", 3)
+    monkeypatch.setattr(R, "BUCKET_BYTES", 400)
+    monkeypatch.setattr(R, "short", lambda name: (name & np.uint64(7)).astype(np.int32))
+    rng = random.Random(9)
+    fresh = lambda k: "".join(rng.choice("abcdefgh ") for _ in range(k))
+    hot, pairs = fresh(60), [fresh(70) for _ in range(30)]
+    rows = [(i, fresh(100) + hot) for i in range(12)]
+    rows += [(100 + i, fresh(30) + p + (hot if i % 2 else "")) for i, p in enumerate(pairs)] + [(200 + i, p + fresh(30)) for i, p in enumerate(pairs)]
+    check(spark, rows)
