@@ -121,18 +121,18 @@ def cluster_members(spark, sf):
 
 @query("kmeans")
 def kmeans(spark, sf):
-    return C.kmeans(vectors(spark, sf), "vec_id", "x", k=4, n_init=2).select("vec_id", "cluster")
+    return C.kmeans(vectors(spark, sf), "vec_id", "x", k=4).select("vec_id", "cluster")
 
 
 @query("kmeans_elbow")
 def kmeans_elbow(spark, sf):
-    return C.kmeans_elbow(vectors(spark, sf), "vec_id", "x", ks=range(2, 5), n_init=2)
+    return C.kmeans_elbow(vectors(spark, sf), "vec_id", "x", ks=range(2, 11), n_init=10)
 
 
 @query("ward")
 def ward(spark, sf):
-    """Ward over 100 k-means groups of all rows."""
-    return C.ward_of_groups(vectors(spark, sf), "vec_id", "x", k=4, groups=100).select("vec_id", "cluster")
+    """Ward over 1,000 k-means groups of all rows."""
+    return C.ward_of_groups(vectors(spark, sf), "vec_id", "x", k=4).select("vec_id", "cluster")
 
 
 @query("model_comparison")
@@ -140,8 +140,8 @@ def model_comparison(spark, sf):
     """Silhouettes of three models; one with a single cluster would be left out."""
     points = vectors(spark, sf)
     labelled = {
-        "K-Means": C.kmeans(points, "vec_id", "x", k=4, n_init=2),
-        "Ward": C.ward_of_groups(points, "vec_id", "x", k=4, groups=100),
+        "K-Means": C.kmeans(points, "vec_id", "x", k=4),
+        "Ward": C.ward_of_groups(points, "vec_id", "x", k=4),
         "DBSCAN": C.dbscan(points, "vec_id", "x", eps=EPS, min_samples=5),
     }
     return C.model_comparison({name: C.silhouette(stage(df), "vec_id", "x", "cluster", noise=-1) for name, df in labelled.items()})
