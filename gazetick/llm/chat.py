@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gazetick.llm.common import fresh
+
 HEAD, MIDDLE, END = "<s>[INST] ", " [/INST]", "</s>"
 CONTROL = re.compile(r"</?s>|\[/?INST\]")
 ESCAPABLE = re.compile(r"(?:<\\*)(?=/?s>)|(?:\[\\*)(?=/?INST\])")
@@ -100,8 +102,9 @@ def format_turns(turns: DataFrame, role: str = "role", text: str = "text", learn
         return pa.StructArray.from_arrays(columns, names=["formatted", "loss_start", "loss_end"])
 
     names = ["formatted", "loss_start", "loss_end"]
-    plain = turns.drop(*names, "_turn").withColumn("_turn", formatted_turn(F.col(role), F.col(text)))
-    return plain.withColumns({n: F.col(f"_turn.{n}") for n in names}).drop("_turn")
+    plain = turns.drop(*names)
+    made = fresh(plain, "_turn")
+    return plain.withColumn(made, formatted_turn(F.col(role), F.col(text))).withColumns({n: F.col(made)[n] for n in names}).drop(made)
 
 
 class _Digest:

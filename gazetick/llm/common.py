@@ -25,6 +25,14 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(_BATCH, str(BATCH_ROWS))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def hash_unit(column: Column, seed: int) -> Column:
     """Number in [0, 1) that depends on the value and the seed alone: 52 bits of a SHA-256."""
     text = F.concat(F.lit(f"{seed}:"), F.coalesce(column.cast("string"), F.lit("")))

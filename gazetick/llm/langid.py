@@ -25,7 +25,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gazetick.llm.common import small_batches
+from gazetick.llm.common import fresh, small_batches
 from gazetick.session import stage
 
 UNKNOWN = "und"
@@ -338,5 +338,7 @@ def predict(spark: SparkSession, model: Model, text: Column | str) -> Column:
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``; columns of these names are replaced."""
-    found = docs.drop("lang_pred", "score").withColumn("_lang", predict(docs.sparkSession, model, F.col(text)))
-    return found.withColumns({"lang_pred": F.col("_lang.lang"), "score": F.col("_lang.score")}).drop("_lang")
+    plain = docs.drop("lang_pred", "score")
+    made = fresh(plain, "_lang")
+    found = plain.withColumn(made, predict(docs.sparkSession, model, F.col(text)))
+    return found.withColumns({"lang_pred": F.col(made)["lang"], "score": F.col(made)["score"]}).drop(made)

@@ -10,7 +10,8 @@ VOCABULARY = "piece_bpe_32k.model"
 
 
 def held_out(id="doc_id"):
-    return F.pmod(F.crc32(F.col(id).cast("string")), F.lit(4)) == 2
+    """False for a null id, which has no remainder."""
+    return F.coalesce(F.pmod(F.crc32(F.col(id).cast("string")), F.lit(4)) == 2, F.lit(False))
 
 
 def learned(docs):

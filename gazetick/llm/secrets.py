@@ -6,9 +6,11 @@ kept incrementally, one character in and one out, and so is the sum of c log2(c)
 allow-list (words, slugs of parts that are all letters or all digits, numbers, UUIDs and further
 patterns a caller names) are suppressed, and so are spans inside a base span.
 
-A span is the whole match in code points, end exclusive. A null text counts as empty. Rows are
-independent, so ties, repeated rows and empty tables need no rule; other columns pass through, and a
-column named ``secret_spans`` is replaced.
+A base span is the whole match in code points, end exclusive; an entropy span reaches from the first
+hot window to the end of the last. Masks cover the candidate of such a span whole, since the ends of a
+key may lie in windows just below the limit. A null text counts as empty. Rows are independent, so ties,
+repeated rows and empty tables need no rule; other columns pass through, whatever their names, and a
+column named ``secret_spans`` is replaced by ``with_secret_spans``.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gazetick.llm.common import fresh
+
 # Fixed patterns of the contract; the groups of ASSIGN are its keyword and its value.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ASSIGN_VALUE = 8
@@ -94,7 +98,7 @@ def hot_range(candidate: Column, window: int = WINDOW, hex_bits: float = HEX_BIT
 
 
 def secret_spans(text: Column, allowed: Sequence[str] = ALLOWED) -> tuple[Column, Column]:
-    """Base spans and entropy spans of the text; kind is a place in ``KINDS``."""
+    """Base spans and entropy spans of the text; kind is a place in ``KINDS``. An entropy span has the ``low`` and ``high`` of its candidate."""
     clean = F.translate(F.coalesce(text, F.lit("")), _CUT, _OTHER)
     every = lambda piece: F.lit(True)
     value = lambda piece: F.length(F.regexp_extract(piece, ASSIGN, 2)) >= ASSIGN_VALUE
@@ -102,21 +106,33 @@ def secret_spans(text: Column, allowed: Sequence[str] = ALLOWED) -> tuple[Column
     suspect = lambda piece: ~piece.rlike("^(" + "|".join(allowed) + ")$")
     candidates = F.transform(
         _matches(clean, CANDIDATE, 3, suspect),
-        lambda s: F.struct(s.start.alias("start"), hot_range(F.substring(clean, s.start + 1, s.end - s.start)).alias("hot")),
+        lambda s: F.struct(s.start.alias("low"), s.end.alias("high"), hot_range(F.substring(clean, s.start + 1, s.end - s.start)).alias("hot")),
     )
     entropy = F.transform(
         F.filter(candidates, lambda c: c.hot.last > 0),
-        lambda c: F.struct((c.start + c.hot.first - WINDOW).alias("start"), F.lit(3).alias("kind"), (c.start + c.hot.last).alias("end")),
+        lambda c: F.struct((c.low + c.hot.first - WINDOW).alias("start"), F.lit(3).alias("kind"), (c.low + c.hot.last).alias("end"), c.low.alias("low"), c.high.alias("high")),
     )
     return base, entropy
 
 
+def _spans_and_masks(docs: DataFrame, text: str, allowed: Sequence[str], spans: str, masks: str | None = None) -> DataFrame:
+    """``docs`` with all ``spans`` by start, then kind, and the ``masks`` in the same form if wanted."""
+    base, entropy = secret_spans(F.col(text), allowed)
+    names = fresh(docs, "_base"), fresh(docs, "_entropy")
+    found = docs.withColumns(dict(zip(names, (base, entropy), strict=True)))
+    added = F.filter(names[1], lambda e: ~F.exists(names[0], lambda b: (b.start <= e.start) & (b.end >= e.end)))
+
+    def merged(start: str, end: str) -> Column:
+        plain = F.transform(added, lambda e: F.struct(e[start].alias("start"), e.kind.alias("kind"), e[end].alias("end")))
+        return F.array_sort(F.concat(names[0], plain))
+
+    new = {spans: merged("start", "end")} | ({masks: merged("low", "high")} if masks else {})
+    return found.withColumns(new).drop(*names)
+
+
 def with_secret_spans(docs: DataFrame, text: str = "text", allowed: Sequence[str] = ALLOWED) -> DataFrame:
     """``docs`` with ``secret_spans``, all spans by start, then kind (a place in ``KINDS``)."""
-    base, entropy = secret_spans(F.col(text), allowed)
-    found = docs.drop("secret_spans").withColumns({"_base": base, "_entropy": entropy})
-    added = F.filter("_entropy", lambda e: ~F.exists("_base", lambda b: (b.start <= e.start) & (b.end >= e.end)))
-    return found.withColumn("secret_spans", F.array_sort(F.concat("_base", added))).drop("_base", "_entropy")
+    return _spans_and_masks(docs.drop("secret_spans"), text, allowed, "secret_spans")
 
 
 def span_list(spans: Column | str) -> Column:
@@ -126,9 +142,10 @@ def span_list(spans: Column | str) -> Column:
     return F.array_join(F.transform(spans, shown), ",")
 
 
-def mask_secrets(docs: DataFrame, text: str = "text", mask: str = MASK) -> DataFrame:
-    """``docs`` with every span, or run of overlapping spans, replaced by ``mask``; columns unchanged."""
-    found = with_secret_spans(docs, text)
+def mask_secrets(docs: DataFrame, text: str = "text", mask: str = MASK, allowed: Sequence[str] = ALLOWED) -> DataFrame:
+    """``docs`` with every base span and every candidate of an entropy span, or run of overlapping ones, replaced by ``mask``; columns unchanged."""
+    spans, masks = fresh(docs, "_spans"), fresh(docs, "_masks")
+    found = _spans_and_masks(docs, text, allowed, spans, masks)
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(state: Column, span: Column) -> Column:
@@ -136,5 +153,5 @@ def mask_secrets(docs: DataFrame, text: str = "text", mask: str = MASK) -> DataF
         return F.struct(F.greatest(state.at, span.end).alias("at"), F.when(span.start >= state.at, before).otherwise(state.out).alias("out"))
 
     rest = lambda s: F.concat(s.out, F.substring(F.col(text), s.at + 1, F.length(F.col(text))))
-    masked = F.when(F.size("secret_spans") > 0, F.aggregate("secret_spans", start, step, rest)).otherwise(F.col(text))
+    masked = F.when(F.size(masks) > 0, F.aggregate(masks, start, step, rest)).otherwise(F.col(text))
     return found.withColumn(text, masked).select(*docs.columns)

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gazetick.llm.common import small_batches
+from gazetick.llm.common import fresh, small_batches
 from gazetick.plans.components import connected_components
 from gazetick.session import stage
 
@@ -184,7 +184,14 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
 
 
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The document with the smallest id of every group, columns unchanged; one row of an id stays, and all without one."""
+    """The document with the smallest id of every group, columns unchanged, and all documents without an id.
+
+    Rows that share that id stay if their texts differ; of rows with one id and text the first by their
+    other columns stays.
+    """
     kept = near_duplicates(docs, id, text).filter("id = root").select(F.col("id").alias(id)).distinct()
-    named = docs.join(kept, id, "left_semi").dropDuplicates([id])
-    return named.unionByName(docs.filter(F.col(id).isNull()))
+    named = docs.join(kept, id, "left_semi")
+    digest, row = fresh(docs, "_digest"), fresh(docs, "_row")
+    others = F.to_json(F.struct(F.lit(0).alias("_"), *[c for c in docs.columns if c not in (id, text)]))
+    alike = named.withColumn(digest, F.sha2(text, 256)).groupBy(id, digest).agg(F.min_by(F.struct(*docs.columns), others).alias(row))
+    return alike.select(*[F.col(row)[c].alias(c) for c in docs.columns]).unionByName(docs.filter(F.col(id).isNull()))

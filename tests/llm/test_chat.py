@@ -56,3 +56,11 @@ def test_digests(spark):
         assert row.formatted_chars == sum(len(C.format_turn(r[2] or "", r[3] or "")[0]) for r in mine)
     assert not got
     assert C.conversation_digests(C.format_turns(turns.limit(0))).count() == 0
+
+
+def test_column_of_the_helper_name(spark):
+    from gazetick.llm.chat import format_turns
+
+    turns = spark.createDataFrame([(1, 0, "user", "hi", 7, 8)], "conv_id long, turn int, role string, text string, _turn int, _TURN_ int")
+    found = format_turns(turns)
+    assert found.columns == [*turns.columns, "formatted", "loss_start", "loss_end"] and found.first()[4:6] == (7, 8)

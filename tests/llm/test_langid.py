@@ -118,3 +118,17 @@ def test_held_out_accuracy(spark):
     truth = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang")
     rows = op2_langid(spark, sf).join(truth, "doc_id").filter("held_out").collect()
     assert len(rows) > 150 and sum(r.lang_pred == r.lang for r in rows) / len(rows) > 0.97
+
+
+def test_column_of_the_helper_name_and_null_ids(spark, tmp_path):
+    import numpy as np
+
+    from gazetick.llm.langid import Model, identify
+    from gazetick.llm.queries.langid import op2_langid
+
+    docs = spark.createDataFrame([(1, "words", "mine"), (None, "more", "too")], "doc_id long, text string, _lang string")
+    found = identify(docs, Model([], np.empty((0, 0)), []))
+    assert found.columns == ["doc_id", "text", "_lang", "lang_pred", "score"]
+    assert sorted(r["_lang"] for r in found.collect()) == ["mine", "too"]
+    docs.withColumnRenamed("_lang", "lang").write.parquet(str(tmp_path / "documents.parquet"))
+    assert {r.doc_id: r.held_out for r in op2_langid(spark, str(tmp_path)).collect()}[None] is False

@@ -15,7 +15,7 @@ from gazetick.llm.secrets import MASK
 
 def masked_by_hand(text):
     out, at = "", 0
-    for start, _, end in spans_by_hand(text):
+    for start, _, end in spans_by_hand(text, whole=True):
         if start >= at:
             out += text[at:start] + MASK
         at = max(at, end)
@@ -76,3 +76,18 @@ def test_near_duplicates_keep_documents_without_an_id(spark, tmp_path):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     kept = C.near_duplicates(spark, docs, str(tmp_path)).collect()
     assert sorted(map(tuple, kept), key=str) == sorted(rows[:3], key=str)
+
+
+def test_near_duplicates_keep_texts_that_share_an_id(spark, tmp_path):
+    rows = [(5, "one two three four five six", "en", "b", 1), (5, "quite another text that is not alike", "en", "a", 1), (5, "one two three four five six", "en", "a", 1),
+            (9, "one two three four five six", "en", "a", 1), (6, "something else stands here for once", None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = C.near_duplicates(spark, docs, str(tmp_path)).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted(rows[1:3] + rows[4:], key=str)
+
+
+def test_language_keeps_a_corpus_without_labels(spark, tmp_path):
+    rows = [(1, "some words", None, "a", 1), (2, None, None, "a", 1), (3, "12 34", None, "a", 1), (4, "ёлка", None, None, None), (None, "words", None, "a", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = C.language(spark, docs, str(tmp_path)).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([rows[0], *rows[3:]], key=str)

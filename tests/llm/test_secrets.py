@@ -17,7 +17,8 @@ def entropy(window):
     return -sum(window.count(c) / len(window) * math.log2(window.count(c) / len(window)) for c in set(window))
 
 
-def spans_by_hand(text):
+def spans_by_hand(text, whole=False):
+    """``whole``: entropy spans as long as their candidates, as masks are."""
     text = text or ""
     base = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
     base += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if len(m[0]) >= 16]
@@ -32,7 +33,7 @@ def spans_by_hand(text):
         if hot:
             span = (m.start() + hot[0], 3, m.start() + hot[-1] + 20)
             if not any(b[0] <= span[0] and b[2] >= span[2] for b in base):
-                added.append(span)
+                added.append((m.start(), 3, m.end()) if whole else span)
     return sorted(base + added)
 
 
@@ -69,7 +70,7 @@ def test_masked(spark):
     assert masked.columns == docs.columns
     for r in masked.collect():
         text, out, at = rows[r.doc_id][1], "", 0
-        for start, _, end in spans_by_hand(text):
+        for start, _, end in spans_by_hand(text, whole=True):
             if start >= at:
                 out += text[at:start] + S.MASK
             at = max(at, end)
@@ -100,3 +101,29 @@ def test_lower_case_keys(spark):
         assert len(found[i]) == 1 and found[i][0][1] == 3, (key, found[i])
     assert all(found[len(keys) + i] == [] for i in range(len(slugs)))
     assert S.mask_secrets(docs).filter("doc_id = 0").first().text == f"say {S.MASK} twice"
+
+
+def test_no_part_of_a_key_survives(spark):
+    rng = random.Random(12)
+    alphabets = ["abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "0123456789abcdef"]
+    keys = ["".join(rng.choice(a) for _ in range(n)) for a in alphabets for n in (32, 40, 64) for _ in range(40)]
+    docs = spark.createDataFrame([(i, f"before {k} after {k}, end") for i, k in enumerate(keys)], "doc_id long, text string")
+    caught = 0
+    for r in S.mask_secrets(docs).collect():
+        key = keys[r.doc_id]
+        if S.MASK in r.text:
+            caught += 1
+            assert r.text == f"before {S.MASK} after {S.MASK}, end"
+        else:  # no window of the key reaches the limit
+            assert not spans_by_hand(f"before {key} after")
+    assert caught > 0.9 * len(keys)
+
+
+def test_columns_of_helper_names(spark):
+    rows = [(i, t, 1, 2, "a", 3) for i, t in enumerate(texts()[:40])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _base int, _entropy int, _Spans string, _masks int")
+    spans, masked = S.with_secret_spans(docs), S.mask_secrets(docs)
+    assert spans.columns == [*docs.columns, "secret_spans"] and masked.columns == docs.columns
+    plain = {r.doc_id: r.text for r in S.mask_secrets(docs.select("doc_id", "text")).collect()}
+    assert all(tuple(r)[2:] == (1, 2, "a", 3) and r.text == plain[r.doc_id] for r in masked.collect())
+    assert all(tuple(r)[2:6] == (1, 2, "a", 3) and [tuple(s) for s in r.secret_spans] == spans_by_hand(r.text) for r in spans.collect())
