@@ -5,6 +5,7 @@ last return the columns of documents, and columns beyond these are dropped at th
 
 1. ``language``: documents without a determinable language go (null texts, texts without a letter);
    the model is learned from the labelled rows that are not held out. A missing label is filled in.
+   Where no row is labelled nothing is learned: only texts that are null or have no letter go.
 2. ``near_duplicates``: of each group of near copies the document with the smallest id stays;
    documents without an id stay, each for itself.
 3. ``secrets``: secrets are masked inside the texts; documents stay.
@@ -29,7 +30,10 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = identify(docs.select(*COLUMNS), learned(docs)).filter(F.col("lang_pred") != UNKNOWN)
+    model = learned(docs)
+    if not model.languages:
+        return docs.select(*COLUMNS).filter(F.col("text").rlike(r"\p{L}"))
+    found = identify(docs.select(*COLUMNS), model).filter(F.col("lang_pred") != UNKNOWN)
     return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
 
