@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gazetick.functions.text import WORD
 from gazetick.operators.reduce import truncated_svd
-from gazetick.operators.textfeatures import ngrams, sparse_rows, term_index, tfidf
-from gazetick.plans.lookup import lookup_join
-from gazetick.session import stage
+from gazetick.operators.textfeatures import sparse_rows, term_index, tfidf
+from gazetick.session import fresh, stage
 
 ENTITIES = "array<struct<word:string,label:string>>"
 
@@ -39,42 +40,99 @@ def annotate_with(df: DataFrame, col: str, load: Callable[[], Callable], out: st
     return df.withColumn(out, F.when(F.col(col).isNotNull(), tag(F.col(col))))
 
 
+#: Bytes of phrases that one pass over the texts looks for.
+GAZETTEER_BYTES = 32 << 20
+HITS = "array<struct<pos:int,len:int,label:string>>"
+
+
+def phrase_tree(phrases: list[tuple[str, str]]) -> dict:
+    """Phrases by their words: a state's arcs by word, and a phrase's label under the key None."""
+    root: dict = {}
+    for phrase, label in phrases:
+        state = root
+        for word in phrase.split(" "):
+            state = state.setdefault(word, {})
+        state[None] = label
+    return root
+
+
+def longest_hits(words: list[str], tree: dict) -> list[tuple[int, int, str]]:
+    """``pos, len, label`` of the longest phrase at every word that begins one."""
+    out = []
+    for pos, word in enumerate(words):
+        state = tree.get(word)
+        end, best = pos, None
+        while state is not None:
+            end += 1
+            if None in state:
+                best = (pos, end - pos, state[None])
+            state = state.get(words[end]) if end < len(words) else None
+        if best is not None:
+            out.append(best)
+    return out
+
+
+def without_overlaps(hits: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """Hits from the left, each beginning behind the one before."""
+    out, free = [], 0
+    for hit in hits:
+        if hit[0] >= free:
+            out.append(hit)
+            free = hit[0] + hit[1]
+    return out
+
+
+def _hit_array(rows: list[list[tuple[int, int, str]]]) -> pa.Array:
+    ends = np.cumsum([0] + [len(r) for r in rows])
+    flat = [h for r in rows for h in r]
+    kinds = (pa.int32(), pa.int32(), pa.string())
+    structs = pa.StructArray.from_arrays([pa.array([h[i] for h in flat], kind) for i, kind in enumerate(kinds)], names=["pos", "len", "label"])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), structs)
+
+
 def annotate_entities(
     df: DataFrame, row_id: str, col: str, gazetteer: DataFrame, out: str = "entities"
 ) -> DataFrame:
     """Leftmost-longest matches of ``gazetteer`` phrases (``phrase`` in lower case, ``label``).
 
-    Word runs of each length that the gazetteer has are looked up by equality; overlaps are settled
-    inside each document from its own matches.
+    A tree over the phrases' words is broadcast and walked over each text's words in one Arrow pass;
+    neither texts nor their n-grams are shuffled. Phrases beyond ``GAZETTEER_BYTES`` are dealt by their
+    first word over several passes, whose hits are settled together. A phrase with several labels has the
+    smallest; a null text has null entities.
     """
-    # One label per phrase. The lengths are read off the phrases, so none is too long to match.
-    table = stage(gazetteer.groupBy("phrase").agg(F.min("label").alias("label")))
-    lengths = sorted(r[0] for r in table.select(F.size(words_of(F.col("phrase")))).distinct().collect() if r[0] > 0)
-    empty = F.array().cast(ENTITIES)
-    if not lengths:
-        return df.withColumn(out, F.when(F.col(col).isNotNull(), empty))
-    words = df.select(row_id, words_of(F.col(col)).alias("_w")).filter(F.size("_w") > 0)
-    def of_size(n: int) -> Column:
-        spans = lambda g, i: F.struct(i.alias("pos"), F.lit(n).alias("len"), g.alias("word"))
-        return F.transform(ngrams(F.col("_w"), n, n), spans)
-
-    spans = F.concat(*[of_size(n) for n in lengths])
-    grams = words.select(row_id, F.explode(spans).alias("_s")).select(row_id, "_s.*", F.lower("_s.word").alias("phrase"))
-    hits = lookup_join(grams, table, ["phrase"], F.col(row_id))
-    longest = hits.groupBy(row_id, "pos").agg(F.max(F.struct("len", "word", "label")).alias("_m"))
-    matches = longest.groupBy(row_id).agg(
-        F.array_sort(F.collect_list(F.struct("pos", "_m.len", "_m.word", "_m.label"))).alias("_m")
-    )
-    start = F.struct(F.lit(0).alias("end"), F.array().cast(ENTITIES).alias("kept"))
-
-    def keep(acc: Column, m: Column) -> Column:
-        entity = F.struct(m["word"].alias("word"), m["label"].alias("label"))
-        taken = F.struct((m["pos"] + m["len"]).alias("end"), F.concat(acc["kept"], F.array(entity)).alias("kept"))
-        return F.when(m["pos"] >= acc["end"], taken).otherwise(acc)
-
-    entities = matches.select(row_id, F.aggregate("_m", start, keep)["kept"].alias(out))
-    joined = df.join(entities, row_id, "left")
-    return joined.withColumn(out, F.when(F.col(col).isNotNull(), F.coalesce(out, empty)))
+    table = stage(gazetteer.filter(F.col("phrase").isNotNull()).groupBy("phrase").agg(F.min("label").alias("label")))
+    size = table.agg(F.sum(F.octet_length("phrase") + 32)).first()[0] or 0
+    parts = size // GAZETTEER_BYTES + 1
+    lowered = F.lower(F.array_join(words_of(F.col(col)), " "))
+
+    def hits_of(part: int) -> Callable:
+        mine = table.filter(F.pmod(F.xxhash64(F.substring_index("phrase", " ", 1)), F.lit(parts)) == part)
+        sent = df.sparkSession.sparkContext.broadcast([(r["phrase"], r["label"]) for r in mine.collect()])
+
+        @F.arrow_udf(HITS)
+        def hits(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            tree = phrase_tree(sent.value)
+            for texts in batches:
+                found = [longest_hits(t.split(" ") if t else [], tree) for t in texts.to_pylist()]
+                yield _hit_array([without_overlaps(f) for f in found] if parts == 1 else found)
+
+        return hits
+
+    @F.arrow_udf(HITS)
+    def settled(hits: pa.Array) -> pa.Array:
+        rows = [[(h["pos"], h["len"], h["label"]) for h in r] for r in hits.to_pylist()]
+        return _hit_array([without_overlaps(sorted(r)) for r in rows])
+
+    hits, words = fresh(df, "_hits"), fresh(df, "_words")
+    found = df.withColumn(hits, hits_of(0)(lowered))
+    for part in range(1, parts):
+        found = stage(found).withColumn(hits, F.concat(hits, hits_of(part)(lowered)))
+    if parts > 1:
+        found = found.withColumn(hits, settled(hits))
+    found = found.withColumn(words, F.when(F.size(hits) > 0, words_of(F.col(col))))
+    entity = lambda h: F.struct(F.array_join(F.slice(words, h["pos"] + 1, h["len"]), " ").alias("word"), h["label"].alias("label"))
+    entities = F.when(F.col(col).isNotNull(), F.transform(hits, entity))
+    return found.withColumn(out, entities).drop(hits, words)
 
 
 def entity_count(entities: Column) -> Column:
@@ -93,6 +151,12 @@ def embed_with(df: DataFrame, col: str, load: Callable[[], Callable], out: str =
     return df.withColumn(out, encode(F.coalesce(F.col(col), F.lit(""))))
 
 
+def zip_embeddings(records: DataFrame, vectors: DataFrame, key: str, vector_key: str, vector: str = "embedding", out: str = "embedding") -> DataFrame:
+    """Every record with its vector by key; null where there is none. A key's first vector counts, by its numbers."""
+    one = vectors.groupBy(F.col(vector_key).alias(key)).agg(F.min(vector).alias(out))
+    return records.drop(out).join(one, key, "left")
+
+
 def embed_text(
     df: DataFrame,
     row_id: str,

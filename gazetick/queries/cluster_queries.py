@@ -8,7 +8,7 @@ from gazetick.operators import cluster as C
 from gazetick.operators.profile import cluster_summary
 from gazetick.operators.reduce import truncated_svd
 from gazetick.operators.scaling import scale_vector
-from gazetick.queries.feature_queries import sparse
+from gazetick.queries.feature_queries import TFIDF, sparse
 from gazetick.queries.registry import query, r6, sql_r6, table
 from gazetick.session import stage
 
@@ -24,9 +24,9 @@ POINTS = "points AS MATERIALIZED (SELECT vec_id, embedding::DOUBLE[] AS x, label
 
 @query("truncated_svd")
 def svd(spark, sf):
-    """Every document in ten dimensions; SQL has no SVD."""
-    rows, width = sparse(spark, sf)
-    return truncated_svd(rows, "doc_id", width, min(10, width))
+    """Every document in 100 dimensions; SQL has no SVD, tests compare with NumPy's."""
+    rows, width = sparse(spark, sf, TFIDF["tfidf_topics"])
+    return truncated_svd(rows, "doc_id", width, 100)
 
 
 @query(

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from gazetick.functions.text import STOPWORDS, avg_word_length, char_count, clean_and_tokenize
 from gazetick.operators import models as M
 from gazetick.operators import textfeatures as T
-from gazetick.operators.annotate import embed_text
+from gazetick.operators.annotate import embed_text, zip_embeddings
+from gazetick.operators.svm import linear_svm as fit_svm
+from gazetick.operators.svm import svm_scores
 from gazetick.queries import sqltext as S
 from gazetick.queries.registry import query, r6, sql_r6, table
 from gazetick.session import stage
@@ -89,10 +91,12 @@ def sql_tfidf(ngram=(1, 1), max_features=None, min_df=1, max_df=1.0, sublinear=F
     {name} AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM raw)"""
 
 
+# The reference's three matrices (trigrams, bigrams, topics), and single words.
 TFIDF = {
-    "tfidf_words": dict(ngram=(1, 1), max_features=300),
-    "tfidf_bigrams": dict(ngram=(1, 2), max_features=300, min_df=2, max_df=0.8, sublinear=True),
-    "tfidf_trigrams": dict(ngram=(1, 3), max_features=300, min_df=3, max_df=0.9, stop=True),
+    "tfidf_words": dict(ngram=(1, 1), max_features=5000),
+    "tfidf_bigrams": dict(ngram=(1, 2), max_features=5000, min_df=2, max_df=0.95, sublinear=True, stop=True),
+    "tfidf_trigrams": dict(ngram=(1, 3), max_features=50_000, min_df=2, sublinear=True),
+    "tfidf_topics": dict(ngram=(1, 2), max_features=5000, min_df=2, max_df=0.95, stop=True),
 }
 
 
@@ -132,14 +136,14 @@ def stratified_split(spark, sf):
     return T.stratified_split(table(spark, sf, "documents").select("doc_id", "lang"), "lang", "doc_id").select("doc_id", "split")
 
 
-def sparse(spark, sf, options=TFIDF["tfidf_words"]):
+def sparse(spark, sf, options=TFIDF["tfidf_bigrams"]):
     """Sparse rows of all documents, and the width of the matrix."""
     found = stage(weights(spark, sf, **options))
     index = stage(T.term_index(found))
     return stage(T.sparse_rows(found, index, "doc_id", table(spark, sf, "documents"))), index.count()
 
 
-INDEXED = f"""{sql_tfidf(**TFIDF['tfidf_words'])}, idx AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS idx FROM (SELECT DISTINCT term FROM weights))"""
+INDEXED = f"""{sql_tfidf(**TFIDF['tfidf_bigrams'])}, idx AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS idx FROM (SELECT DISTINCT term FROM weights))"""
 
 
 @query(
@@ -206,7 +210,12 @@ def _classifier(fit):
     return run
 
 
-query("linear_svm")(_classifier(M.linear_svm))
+@query("linear_svm")
+def linear_svm(spark, sf):
+    rows, width = quality_rows(spark, sf)
+    return svm_scores(fit_svm(rows, width), rows).select("doc_id", "label_idx", "prediction")
+
+
 query("logistic_regression")(_classifier(M.logistic_regression))
 
 
@@ -260,14 +269,26 @@ def multiclass_eval(spark, sf):
 # --- embeddings and sequence models; trained in the job, so checked by rows and invariants ---------
 
 
+@query(
+    "zip_embeddings",
+    f"""SELECT doc_id, len(embedding)::INTEGER AS size, {sql_r6('embedding[1]::DOUBLE')} AS first
+    FROM documents LEFT JOIN embeddings ON doc_id = vec_id""",
+)
+def zip_embeddings_query(spark, sf):
+    """Every document beside the vector of its id; documents outnumber vectors."""
+    zipped = zip_embeddings(table(spark, sf, "documents").select("doc_id"), table(spark, sf, "embeddings"), "doc_id", "vec_id")
+    size = F.when(F.col("embedding").isNotNull(), F.size("embedding"))
+    return zipped.select("doc_id", size.alias("size"), r6(F.col("embedding")[0].cast("double")).alias("first"))
+
+
 @query("embed_text")
 def embed_text_query(spark, sf):
     """Vectors of all documents by reduced TF-IDF."""
-    embedded = embed_text(table(spark, sf, "documents").select("doc_id", "text"), "doc_id", "text", size=16, max_features=300)
+    embedded = embed_text(table(spark, sf, "documents").select("doc_id", "text"), "doc_id", "text")
     return embedded.select("doc_id", "embedding")
 
 
-VECTOR_SIZE = 16
+VECTOR_SIZE = 256
 
 
 def token_rows(spark, sf):

@@ -367,6 +367,14 @@ def distinct_counts(spark, sf):
     return P.distinct_counts(news(spark, sf))
 
 
+@query("approx_distinct_counts")
+def approx_distinct_counts(spark, sf):
+    """Sketches of two batches that together are all records, merged; tests hold them against exact counts."""
+    rows = news(spark, sf)
+    batches = [P.distinct_sketches(rows.filter(F.pmod(F.col("doc_id"), F.lit(2)) == half)) for half in (0, 1)]
+    return P.approx_distinct_counts(batches[0].unionByName(batches[1]))
+
+
 @query(
     "shape_dtypes",
     """SELECT * FROM (SELECT count(doc_id) AS non_null, count(*) AS rows, 'doc_id' AS "column", 'bigint' AS dtype,

@@ -64,6 +64,14 @@ def clean_up(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def stage(df: DataFrame, types: dict[str, T.DataType] | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
