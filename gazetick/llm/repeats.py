@@ -8,10 +8,13 @@ share one and travel together as a short string:
 1. Names are counted by bucket; a name in one document only is finished. Documents learn which of
    their names are repeated.
 2. Documents send the strings of repeated names to the names' buckets, equal strings once a batch.
-3. In a bucket, strings whose name has one string only need no search: all but the first document
-   lose it. Over the others a run-length index is built: the run-compressed Burrows-Wheeler transform
-   of the strings, the sampled documents of its matching intervals, and a last-to-first step by runs.
-   All strings stream through it, and windows that match a smaller document are marked.
+3. In a bucket, equal strings are one: all but its first document lose it. Strings of a name that a
+   later document holds in another form are indexed: the run-compressed Burrows-Wheeler transform,
+   sampled at both ends of every run, and the smallest document of every interval of rows that agree in
+   ``LENGTH`` bytes. Strings of a name that an earlier document holds in another form stream through the
+   index, which yields their matching statistics: while a string goes on in a run it steps from last to
+   first, else it jumps to the nearer end of a run of its symbol, as the samples' common bytes tell.
+   Where a statistic reaches ``LENGTH`` and the interval's document is smaller, the window is marked.
 4. Marked bytes go back to the documents.
 
 The windows of a name in more than ``CROWDED`` documents are spread by their own hash, one window a
@@ -24,7 +27,6 @@ marks nothing. Rows that repeat an id must repeat its text; they are one documen
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -92,6 +94,50 @@ def string_runs(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarr
     return start, np.append(start[1:], total), np.concatenate(names)
 
 
+def batch_runs(texts: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``text, start, end, name`` of the runs of all texts; short texts are looked at together."""
+    out: list[tuple[np.ndarray, ...]] = []
+    held: list[int] = []
+    size = 0
+
+    def flush() -> None:
+        sizes = np.array([len(texts[i]) for i in held])
+        offsets = np.cumsum(sizes) - sizes
+        total = int(sizes.sum()) - length + 1
+        if total <= 0:
+            return
+        name = _names(np.frombuffer(b"".join([*(texts[i] for i in held), b"\0" * 8]), np.uint8), total, length)
+        windows = np.maximum(sizes - length + 1, 0)
+        fresh = np.append(True, name[1:] != name[:-1])
+        fresh[offsets[windows > 0]] = True
+        start = np.flatnonzero(fresh)
+        text = np.searchsorted(offsets, start, "right") - 1
+        end = np.minimum(np.append(start[1:], total), (offsets + windows)[text])
+        inside = start < end
+        start, end, text = start[inside], end[inside], text[inside]
+        pieces = -(-(end - start) // STRING_WINDOWS)
+        number = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        low = np.repeat(start, pieces) + number * STRING_WINDOWS
+        high = np.minimum(low + STRING_WINDOWS, np.repeat(end, pieces))
+        text = np.repeat(text, pieces)
+        out.append((np.array(held)[text], low - offsets[text], high - offsets[text], name[low]))
+
+    for i, text in enumerate(texts):
+        if len(text) >= PIECE:
+            start, end, name = string_runs(text, length)
+            out.append((np.full(len(start), i), start, end, name))
+            continue
+        held.append(i)
+        size += len(text)
+        if size >= PIECE:
+            flush()
+            held, size = [], 0
+    if held:
+        flush()
+    kinds = (np.int64, np.int64, np.int64, np.uint64)
+    return tuple(np.concatenate([np.empty(0, kind), *parts]) for kind, parts in zip(kinds, list(zip(*out, strict=True)) or [()] * 4, strict=True))
+
+
 def short(name: np.ndarray) -> np.ndarray:
     """The part of a name that tells it from others of its bucket, as a signed number of 32 bits."""
     return (name & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
@@ -136,14 +182,10 @@ NAMES = "key long, kind int, ids array<long>, names array<int>, docs array<int>"
 def _ask(buckets: int, length: int):
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, names = [], []
-            for id, text in zip(batch.column("id").to_pylist(), batch.column("text"), strict=True):
-                name = np.unique(string_runs((text.as_py() or "").encode(), length)[2])
-                ids.append(np.full(len(name), id, np.int64))
-                names.append(name)
-            if not ids or not sum(map(len, ids)):
+            place, _, _, name = batch_runs([(t or "").encode() for t in batch.column("text").to_pylist()], length)
+            if not len(name):
                 continue
-            id, name = np.concatenate(ids), np.concatenate(names)
+            id = batch.column("id").to_numpy()[place]
             order = np.lexsort((id, name))
             id, name = id[order], name[order]
             fresh = np.append(True, (name[1:] != name[:-1]) | (id[1:] != id[:-1]))
@@ -281,76 +323,140 @@ def _of(told, id: int):
     return told[1][low:high], told[2][low:high]
 
 
+class _Told:
+    """What a group of documents knows of its repeated names."""
+
+    def __init__(self, ids: np.ndarray, names: np.ndarray, crowded: np.ndarray):
+        self.ids, at = np.unique(ids, return_inverse=True)
+        keys = at << 32 | _unsigned(names)
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.crowded = keys[order], crowded[order]
+
+    def look_up(self, ids: np.ndarray, names: np.ndarray, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which names are repeated, and which of these are crowded in their own bucket.
+
+        A short name is told from others of its bucket only; another bucket's equal one must not be spread.
+        A document may hold several of a short name, a few rows that follow each other.
+        """
+        at = np.minimum(np.searchsorted(self.ids, ids), max(len(self.ids) - 1, 0))
+        known = self.ids[at] == ids if len(self.ids) else np.zeros(len(ids), bool)
+        keys = np.where(known, at, 0) << 32 | _unsigned(names)
+        low, high = np.searchsorted(self.keys, keys, "left"), np.searchsorted(self.keys, keys, "right")
+        found = known & (low < high)
+        spread = np.zeros(len(ids), bool)
+        for more in range(int((high - low)[found].max(initial=0))):
+            row = np.minimum(low + more, len(self.keys) - 1)
+            spread |= found & (low + more < high) & (self.crowded[row] == buckets + 1)
+        return found, spread
+
+
+def content_hashes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """64-bit hashes of slices: the same for equal bytes, wherever they stand."""
+    with np.errstate(over="ignore"):
+        width = int(sizes.max(initial=0))
+        powers = np.multiply.accumulate(np.full(max(width, 1), _A | np.uint64(1)))
+        out = np.empty(len(starts), np.uint64)
+        for low in range(0, len(starts), 1 << 14):
+            some = slice(low, low + (1 << 14))
+            ends = np.cumsum(sizes[some])
+            place = np.arange(ends[-1]) - np.repeat(ends - sizes[some], sizes[some])
+            byte = data[place + np.repeat(starts[some], sizes[some])].astype(np.uint64)
+            mixed = (byte + np.uint64(1)) * _B
+            out[some] = np.add.reduceat((mixed ^ (mixed >> _HALF)) * powers[place], ends - sizes[some])
+        return _mix(out)
+
+
+def _same(data: np.ndarray, a: np.ndarray, b: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether the slices at ``a`` and ``b`` hold the same bytes."""
+    out = np.ones(len(a), bool)
+    for low in range(0, len(a), 1 << 14):
+        some = slice(low, low + (1 << 14))
+        ends = np.cumsum(sizes[some])
+        place = np.arange(ends[-1]) - np.repeat(ends - sizes[some], sizes[some])
+        equal = data[place + np.repeat(a[some], sizes[some])] == data[place + np.repeat(b[some], sizes[some])]
+        out[some] = np.logical_and.reduceat(equal, ends - sizes[some])
+    return out
+
+
 def _send(buckets: int, groups: int, length: int):
     """Strings of repeated names to their buckets. Equal strings of about ``SENT_BYTES`` of text go once,
     for the smallest document among them; the others are known to lose theirs."""
+    most = SENT_BYTES
+
+    def sent(told: _Told, rows: list[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
+        texts = [text for _, text in rows]
+        text, start, end, name = batch_runs(texts, length)
+        ids = np.array([id for id, _ in rows], np.int64)[text]
+        called, bucket = short(name), bucket_of(name, buckets)
+        found, spread = told.look_up(ids, called, bucket)
+        text, start, end, ids, spread = (x[found] for x in (text, start, end, ids, spread))
+        if not len(text):
+            return
+        key, called = bucket[found], called[found].astype(np.int64)
+        if spread.any():  # every window on its own
+            times = np.where(spread, end - start, 1)
+            number = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            text, ids, spread, key, called, end = (np.repeat(x, times) for x in (text, ids, spread, key, called, end))
+            start = np.repeat(start, times) + number
+            end = np.where(spread, start + 1, end)
+        sizes = end - start + length - 1
+        data = np.frombuffer(b"".join(texts) + b"\0" * 16, np.uint8)
+        offsets = np.cumsum([0] + [len(t) for t in texts])[:-1]
+        at = offsets[text] + start
+        hashes = content_hashes(data, at, sizes)
+        if spread.any():
+            key = np.where(spread, bucket_of(hashes, buckets), key)
+            called = np.where(spread, short(hashes).astype(np.int64), called)
+        order = np.lexsort((start, ids, sizes, hashes, called, key))
+        ids, start, sizes, at, key, called, hashes = (x[order] for x in (ids, start, sizes, at, key, called, hashes))
+        fresh = np.ones(len(ids), bool)
+        for x in (key, called, hashes, sizes):
+            fresh[1:] &= x[1:] == x[:-1]
+        fresh[1:] = ~fresh[1:]
+        first = np.repeat(np.flatnonzero(fresh), np.diff(np.append(np.flatnonzero(fresh), len(ids))))
+        # Two strings of one hash that differ both go as they are.
+        equal = _same(data, at, at[first], sizes)
+        lost = equal & (ids > ids[first])
+        held = ~lost
+        if lost.any():
+            gone = pa.record_batch(_columns([(int(ids[lost][0] % buckets), KNOWN, ids[lost], start[lost], (start + sizes)[lost], [], [], b"")]), names=_NAMED)
+            yield gone
+        ids, start, sizes, at, key, called = (x[held] for x in (ids, start, sizes, at, key, called))
+        # Strings of one name overlap, and shrink best side by side.
+        words = np.lib.stride_tricks.as_strided(data[:8].view(">u8"), shape=(len(data) - 8,), strides=(1,))
+        order = np.lexsort((words[at + 8].astype(np.uint64), words[at].astype(np.uint64), called, key))
+        ids, start, sizes, at, key, called = (x[order] for x in (ids, start, sizes, at, key, called))
+        cuts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        out = []
+        for low, high in zip(cuts, np.append(cuts[1:], len(key)), strict=True):
+            some = slice(low, high)
+            strings = [data[a : a + n].tobytes() for a, n in zip(at[some].tolist(), sizes[some].tolist(), strict=True)]
+            out.append((int(key[low]), ASKED, ids[some], start[some], [], called[some], sizes[some], _packed(strings)))
+        yield pa.record_batch(_columns(out), names=_NAMED)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[int, bytes], list] = {}
-        named: dict[tuple[int, bytes], int] = {}
-        lost: list[tuple[int, int, int]] = []
-        size = 0
-
-        def close() -> Iterator[pa.RecordBatch]:
-            by_bucket: dict[int, list] = {}
-            for (bucket, string), (id, *places) in held.items():
-                by_bucket.setdefault(bucket, []).append((named[bucket, string], string, id, places))
-            out = []
-            for bucket, entries in by_bucket.items():
-                entries.sort(key=lambda e: e[:2])  # strings of one name overlap, and shrink best side by side
-                ids = [id for _, _, id, places in entries for _ in places]
-                at = [place for *_, places in entries for place in places]
-                names = [called for called, _, _, places in entries for _ in places]
-                strings = [string for _, string, _, places in entries for _ in places]
-                out.append((bucket, ASKED, ids, at, [], names, list(map(len, strings)), _packed(strings)))
-            if lost:
-                ids, low, high = map(list, zip(*lost, strict=True))
-                out.append((ids[0] % buckets, KNOWN, ids, low, high, [], [], b""))
-            if out:
-                kinds = (pa.int64(), pa.int32(), _LONGS, _LONGS, _LONGS, _LONGS, _LONGS, pa.binary())
-                columns = [pa.array(list(c), kind) for c, kind in zip(zip(*out, strict=True), kinds, strict=True)]
-                yield pa.record_batch(columns, names=["key", "kind", "ids", "xs", "ys", "names", "sizes", "bytes"])
-            held.clear()
-            named.clear()
-            lost.clear()
-
+        group, known = None, None
         for told, rows in _grouped(batches):
-            for id, text in rows:
-                if size > SENT_BYTES:
-                    yield from close()
-                    size = 0
+            if told is not group:
+                group, known = told, _Told(*told)
+            low = size = 0
+            for high, (_, text) in enumerate(rows, 1):
                 size += len(text)
-                names, crowded = _of(told, id)
-                if not len(names):
-                    continue
-                start, end, name = string_runs(text, length)
-                chosen = np.flatnonzero(np.isin(short(name), names))
-                bucket = bucket_of(name[chosen], buckets)
-                # A short name is told from others of its bucket only; another bucket's equal one must not be spread.
-                spread = np.isin(bucket << 32 | _unsigned(short(name[chosen])), crowded[crowded > 0] - 1 << 32 | _unsigned(names[crowded > 0]))
-                pieces = zip(bucket.tolist(), start[chosen].tolist(), end[chosen].tolist(), spread.tolist(), short(name[chosen]).tolist(), strict=True)
-                for bucket, low, high, alone, called in pieces:
-                    for first in range(low, high) if alone else (low,):
-                        string = text[first : (first + 1 if alone else high) + length - 1]
-                        key = bucket
-                        if alone:
-                            called, key = divmod(int.from_bytes(hashlib.blake2b(string, digest_size=7).digest(), "big"), buckets)
-                        mine = held.get((key, string))
-                        if mine is None:
-                            held[key, string] = [id, first]
-                            named[key, string] = called
-                        elif mine[0] == id:
-                            mine.append(first)
-                        elif mine[0] < id:
-                            lost.append((id, first, first + len(string)))
-                        else:
-                            lost += [(mine[0], x, x + len(string)) for x in mine[1:]]
-                            held[key, string] = [id, first]
-        yield from close()
+                if size > most or high == len(rows):
+                    yield from sent(known, rows[low:high])
+                    low, size = high, 0
 
     return send
 
 
+_NAMED = ["key", "kind", "ids", "xs", "ys", "names", "sizes", "bytes"]
+
+
+def _columns(rows: list[tuple]) -> list[pa.Array]:
+    kinds = (pa.int64(), pa.int32(), _LONGS, _LONGS, _LONGS, _LONGS, _LONGS, pa.binary())
+    return [pa.array(list(c), kind) for c, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
+
+
 # --- 3. the run-length index of a bucket -------------------------------------------------------
 
 
@@ -363,84 +469,118 @@ class RunIndex:
 
     Strings end in ends of their own, which sort first and by place. ``starts`` and ``symbols`` are the
     runs; ``before`` is how often a run's symbol comes in earlier runs and ``less`` how many symbols are
-    smaller. Rows of suffixes that agree in ``length`` bytes form an interval, sampled by its first row
-    and its smallest document. The suffix order itself is not kept.
+    smaller. ``heads`` and ``tails`` are the places of the suffixes at the first and last row of each run.
+    Rows of suffixes that agree in ``length`` bytes form an interval, sampled by its first row and its
+    smallest document. The suffix order itself is not kept.
     """
 
     def __init__(self, strings: list[bytes], documents: np.ndarray, length: int = LENGTH):
-        self.length, self.sizes = length, np.array(list(map(len, strings)))
+        self.length = length
+        self.text, self.sizes = _padded(strings, length)
         width = int(self.sizes.max()) + 1
-        # Bytes plus one, as no UTF-8 holds 255; zeros are ends.
-        self.text = np.zeros((len(strings), width), np.uint8)
-        inside = np.arange(width) < self.sizes[:, None]
-        self.text[inside] = np.frombuffer(b"".join(strings), np.uint8) + 1
         row, column = np.nonzero(np.arange(width) <= self.sizes[:, None])
+        words = np.lib.stride_tricks.as_strided(self.text.reshape(-1)[:8].view(">u8"), shape=(len(strings), width), strides=(self.text.shape[1], 1))
+        ranks, known = _ranks(words.astype(np.uint64)), 8
+        while known < width:
+            ranks, known = self._longer(ranks, known), known * 2
 
-        padded = np.zeros((len(strings), width + 8), np.uint8)
-        padded[:, :width] = self.text
-        words = np.lib.stride_tricks.as_strided(padded.reshape(-1)[:8].view(">u8"), shape=(len(strings), width), strides=(width + 8, 1))
-        ranks, known = {8: _ranks(words.astype(np.uint64))}, 8
-        while known < width or known < length:
-            ranks[known * 2] = self._longer(ranks[known], ranks[known], known)
-            known *= 2
-        exact = max(n for n in ranks if n <= length)
-        windows = self._longer(ranks[exact], ranks[exact], length - exact)
-
-        order = np.lexsort((row, ranks[known][row, column]))
+        order = np.lexsort((row, ranks[row, column]))
         row, column = row[order], column[order]
         last = np.where(column > 0, self.text[row, column - 1], 0)
         fresh = np.append(True, last[1:] != last[:-1])
         self.starts, self.symbols = np.flatnonzero(fresh), last[fresh].astype(np.int64)
         lengths = np.diff(np.append(self.starts, len(last)))
-        by_symbol = np.argsort(self.symbols, kind="stable")
+        self.by_symbol = np.argsort(self.symbols, kind="stable")
         before = np.empty(len(lengths), np.int64)
-        sums = np.cumsum(lengths[by_symbol]) - lengths[by_symbol]
+        sums = np.cumsum(lengths[self.by_symbol]) - lengths[self.by_symbol]
         totals = np.bincount(self.symbols, lengths, 257).astype(np.int64)
         self.less = np.cumsum(totals) - totals
-        before[by_symbol] = sums - self.less[self.symbols[by_symbol]]
+        before[self.by_symbol] = sums - self.less[self.symbols[self.by_symbol]]
         self.before = before
-
-        enough = column + length <= self.sizes[row]
-        self.rows = np.flatnonzero(enough)
-        window = windows[row[self.rows], column[self.rows]]
-        opened = np.append(True, window[1:] != window[:-1]) if len(window) else np.empty(0, bool)
-        self.intervals = self.rows[opened]
-        self.least = np.minimum.reduceat(documents[row[self.rows]], np.flatnonzero(opened)) if len(window) else documents[:0]
+        self.ends = self.starts + lengths - 1
+        place = row * self.text.shape[1] + column
+        self.heads, self.tails = place[self.starts], place[self.ends]
+        self.keys = self.symbols[self.by_symbol] * len(self.symbols) + self.by_symbol
+
+        rows = np.flatnonzero(column + length <= self.sizes[row])
+        apart = np.ones(len(rows), bool)
+        if len(rows) > 1:
+            apart[1:] = (np.diff(rows) > 1) | (self._common(place[rows[:-1]], place[rows[1:]], np.full(len(rows) - 1, length)) < length)
+        self.intervals = rows[apart]
+        self.least = np.minimum.reduceat(documents[row[rows]], np.flatnonzero(apart)) if len(rows) else documents[:0]
 
     @staticmethod
-    def _longer(first: np.ndarray, second: np.ndarray, by: int) -> np.ndarray:
-        """Ranks of longer pieces from the ranks of two pieces, the second one ``by`` further on."""
-        moved = np.zeros_like(second)  # behind the end every piece is the same, and sorts first with rank 0
-        if by < second.shape[1]:
-            moved[:, : second.shape[1] - by] = second[:, by:]
-        return _ranks(first * np.uint64(int(second.max()) + 1) + moved)
-
-    def step(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The symbol before each row's suffix, and the row of the suffix it starts."""
-        run = np.searchsorted(self.starts, rows, "right") - 1
-        symbol = self.symbols[run]
-        return symbol, self.less[symbol] + self.before[run] + rows - self.starts[run]
-
-    def smaller_matches(self, documents: np.ndarray) -> np.ndarray:
-        """For each string and window, whether a string of a smaller document holds it.
-
-        The strings stream through the index from their ends, all at once, one byte a step.
+    def _longer(ranks: np.ndarray, by: int) -> np.ndarray:
+        """Ranks of pieces of twice the length from those of pieces of ``by`` bytes."""
+        moved = np.zeros_like(ranks)  # behind the end every piece is the same, and sorts first with rank 0
+        if by < ranks.shape[1]:
+            moved[:, : ranks.shape[1] - by] = ranks[:, by:]
+        return _ranks(ranks * np.uint64(int(ranks.max()) + 1) + moved)
+
+    def _common(self, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
+        """How many bytes, up to ``most``, the suffixes at two places have in common."""
+        flat, out = self.text.reshape(-1), np.empty(len(a), np.int64)
+        span = np.arange(self.length)
+        for low in range(0, len(a), 1 << 14):
+            some = slice(low, low + (1 << 14))
+            left, right = flat[a[some, None] + span], flat[b[some, None] + span]
+            differ = (left != right) | (left == 0)
+            out[some] = np.where(differ.any(axis=1), differ.argmax(axis=1), self.length)
+        return np.minimum(out, most)
+
+    def smaller_matches(self, strings: list[bytes], documents: np.ndarray) -> np.ndarray:
+        """For each string and window, whether an indexed string of a smaller document holds it.
+
+        The strings stream through the index from their ends, all at once, one byte a step. A string's
+        state is a row, the place of the row's suffix, and how many bytes, up to ``length``, it matches.
         """
-        marked = np.zeros(self.text.shape, bool)
-        active = np.arange(len(self.sizes))
-        rows = active.copy()  # ends sort first, by place
-        left = self.sizes.copy()
+        text, sizes = _padded(strings, self.length)
+        marked = np.zeros(text.shape, bool)
+        runs = len(self.symbols)
+        active, left = np.flatnonzero(sizes > 0), sizes.copy()
+        row, match = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
+        place = np.full(len(sizes), self.heads[0])
         while len(active):
-            _, rows = self.step(rows)
-            left -= 1
-            ready = left + self.length <= self.sizes[active]
-            interval = np.searchsorted(self.intervals, rows[ready], "right") - 1
-            marked[active[ready], left[ready]] = self.least[interval] < documents[active[ready]]
-            going = left > 0
-            active, rows, left = active[going], rows[going], left[going]
+            left[active] -= 1
+            symbol = text[active, left[active]].astype(np.int64)
+            run = np.searchsorted(self.starts, row[active], "right") - 1
+            off = np.flatnonzero(self.symbols[run] != symbol)
+            if len(off):
+                who, wanted = active[off], symbol[off]
+                after = np.searchsorted(self.keys, wanted * runs + run[off])
+                has_before, has_after = after > 0, after < runs
+                earlier, later = self.by_symbol[np.maximum(after - 1, 0)], self.by_symbol[np.minimum(after, runs - 1)]
+                has_before &= self.symbols[earlier] == wanted
+                has_after &= self.symbols[later] == wanted
+                common_before = np.where(has_before, self._common(place[who], self.tails[earlier], match[who]), -1)
+                common_after = np.where(has_after, self._common(place[who], self.heads[later], match[who]), -1)
+                up = common_before >= common_after
+                run[off] = np.where(up, earlier, later)
+                row[who] = np.where(up, self.ends[earlier], self.starts[later])
+                place[who] = np.where(up, self.tails[earlier], self.heads[later])
+                match[who] = np.maximum(common_before, common_after)
+            here = match[active] >= 0  # else the index doesn't hold the symbol
+            lost, going, run, symbol = active[~here], active[here], run[here], symbol[here]
+            row[lost], match[lost], place[lost] = 0, 0, self.heads[0]
+            row[going] = self.less[symbol] + self.before[run] + row[going] - self.starts[run]
+            place[going] -= 1
+            match[going] = np.minimum(match[going] + 1, self.length)
+            full = going[match[going] == self.length]
+            interval = np.searchsorted(self.intervals, row[full], "right") - 1
+            marked[full, left[full]] = self.least[interval] < documents[full]
+            active = active[left[active] > 0]
         return marked
 
 
+def _padded(strings: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes plus one, as no UTF-8 holds 255, with zeros behind the ends; and the strings' sizes."""
+    sizes = np.array(list(map(len, strings)), np.int64)
+    width = int(sizes.max(initial=0)) + 1
+    text = np.zeros((len(strings), width + max(length, 8)), np.uint8)
+    text[:, :width][np.arange(width) < sizes[:, None]] = np.frombuffer(b"".join(strings), np.uint8) + 1
+    return text, sizes
+
+
 #: Strings of one index, but for a name with more of its own.
 INDEXED = 4096
 
@@ -458,20 +598,24 @@ def bucket_losses(ids: np.ndarray, places: np.ndarray, names: np.ndarray, string
     sizes = np.array(list(map(len, distinct)))
     whole = ids > owner[string_of]
     out = [[ids[whole]], [places[whole]], [places[whole] + sizes[string_of[whole]]]]
-    # Equal windows have one name, so strings of different names need no common index, and a string
-    # without a partner of its name needs none at all.
-    _, name_of, shared = np.unique(name, return_inverse=True, return_counts=True)
+    # Equal windows have one name: strings of different names need no common index. Of a name only strings
+    # with a later document can be matched, and only those with an earlier one can match.
+    _, name_of = np.unique(name, return_inverse=True)
     by_name = np.argsort(name_of, kind="stable")
-    by_name = by_name[shared[name_of[by_name]] > 1]
+    opened = np.flatnonzero(np.append(True, np.diff(name_of[by_name]) > 0))
+    least = np.minimum.reduceat(owner[by_name], opened)[name_of]
+    most = np.maximum.reduceat(owner[by_name], opened)[name_of]
+    by_name = by_name[(least < most)[by_name]]
     keeps = np.flatnonzero(~whole)
     keeps = keeps[np.argsort(string_of[keeps], kind="stable")]
     low = 0
     while low < len(by_name):
         high = np.searchsorted(name_of[by_name], name_of[by_name[min(low + INDEXED, len(by_name)) - 1]], "right")
         together, low = by_name[low:high], high
-        marked = RunIndex([distinct[i] for i in together], owner[together], length).smaller_matches(owner[together])
-        string, window = np.nonzero(marked)
-        first, last = (np.searchsorted(string_of[keeps], together[string], side) for side in ("left", "right"))
+        earlier, later = together[owner[together] < most[together]], together[owner[together] > least[together]]
+        index = RunIndex([distinct[i] for i in earlier], owner[earlier], length)
+        string, window = np.nonzero(index.smaller_matches([distinct[i] for i in later], owner[later]))
+        first, last = (np.searchsorted(string_of[keeps], later[string], side) for side in ("left", "right"))
         times = last - first
         entry = keeps[np.repeat(first - (np.cumsum(times) - times), times) + np.arange(times.sum())]
         out[0].append(ids[entry])

@@ -104,11 +104,18 @@ def test_index_rows_and_matches():
     strings = list({base[i : i + rng.randint(50, 80)] for i in rng.sample(range(200), 60)})
     documents = np.array([rng.randrange(40) for _ in strings])
     index = R.RunIndex(strings, documents)
-    marked = index.smaller_matches(documents)
-    for i, string in enumerate(strings):
-        for j in range(len(string) - 49):
-            want = any(documents[k] < documents[i] and string[j : j + 50] in other for k, other in enumerate(strings))
-            assert marked[i, j] == want
+    others = [base[i : i + 70] for i in range(0, 230, 9)] + [b"\xf0" + base[5:70], base[:40] + b"!" + base[41:95], b"@" * 60]
+    streamed = [(strings, documents), (others, np.array([rng.randrange(40) for _ in others]))]
+    for some, own in streamed:
+        marked = index.smaller_matches(some, own)
+        for i, string in enumerate(some):
+            for j in range(len(string) - 49):
+                want = any(documents[k] < own[i] and string[j : j + 50] in other for k, other in enumerate(strings))
+                assert marked[i, j] == want
+    # The samples decide: with wrong ones the same strings match elsewhere or not at all.
+    right = index.smaller_matches(*streamed[1])
+    index.heads, index.tails = np.roll(index.heads, 7), np.roll(index.tails, 7)
+    assert (index.smaller_matches(*streamed[1]) != right).any()
     assert len(index.starts) < sum(map(len, strings)) / 3
 
 
@@ -134,3 +141,30 @@ def test_a_crowded_name_spreads_no_other_bucket(spark, monkeypatch):
     rows = [(i, fresh(100) + hot) for i in range(12)]
     rows += [(100 + i, fresh(30) + p + (hot if i % 2 else "")) for i, p in enumerate(pairs)] + [(200 + i, p + fresh(30)) for i, p in enumerate(pairs)]
     check(spark, rows)
+
+
+def test_batch_runs_equal_single_texts(monkeypatch):
+    rng = random.Random(3)
+    for piece in (200, 1 << 17):
+        monkeypatch.setattr(R, "PIECE", piece)
+        texts = [bytes(rng.randrange(4) for _ in range(rng.choice([0, 0, 10, 49, 50, 51, 90, 150, 400]))) for _ in range(60)]
+        text, start, end, name = R.batch_runs(texts)
+        assert ((end - start > 0) & (end - start <= R.STRING_WINDOWS)).all()
+        each = {(t, w): n for t, a, b, n in zip(text, start, end, name, strict=True) for w in range(a, b)}
+        assert len(each) == (end - start).sum()
+        want = {}
+        for i, t in enumerate(texts):
+            for a, b, n in zip(*R.string_runs(t), strict=True):
+                want |= {(i, w): n for w in range(a, b)}
+        assert each == want
+    assert [len(x) for x in R.batch_runs([])] == [0, 0, 0, 0] == [len(x) for x in R.batch_runs([b"", b"x" * 49])]
+
+
+def test_strings_of_one_hash(spark, monkeypatch):
+    monkeypatch.setattr(R, "content_hashes", lambda data, starts, sizes: np.zeros(len(starts), np.uint64))
+    monkeypatch.setattr(R, "CROWDED", 3)
+    rows = corpus(5, 60)
+    told = R._Told(np.array([1, 1, 2]), np.array([5, 5, 7]), np.array([0, 3, 0]))
+    found, spread = told.look_up(np.array([1, 1, 2, 3]), np.array([5, 6, 7, 5]), np.array([2, 2, 2, 2]))
+    assert found.tolist() == [True, False, True, False] and spread.tolist() == [True, False, False, False]
+    check(spark, rows)
