@@ -435,16 +435,20 @@ def _send(buckets: int, groups: int, length: int):
         yield pa.record_batch(_columns(out), names=_NAMED)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, known = None, None
+        group, known, held, size = None, None, [], 0
         for told, rows in _grouped(batches):
             if told is not group:
-                group, known = told, _Told(*told)
-            low = size = 0
-            for high, (_, text) in enumerate(rows, 1):
-                size += len(text)
-                if size > most or high == len(rows):
-                    yield from sent(known, rows[low:high])
-                    low, size = high, 0
+                if held:
+                    yield from sent(known, held)
+                group, known, held, size = told, _Told(*told), [], 0
+            for row in rows:
+                held.append(row)
+                size += len(row[1])
+                if size > most:
+                    yield from sent(known, held)
+                    held, size = [], 0
+        if held:
+            yield from sent(known, held)
 
     return send
 
