@@ -7,7 +7,7 @@ from gazetick.queries import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
 # Windows of 60 rows behind 99 warm-up rows leave no training sequence in so few bars.
-EMPTY = {"sequences"}
+EMPTY = {"sequences", "sequence_classifier"}
 
 
 @pytest.fixture(scope="session")
