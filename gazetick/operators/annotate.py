@@ -90,6 +90,18 @@ def _hit_array(rows: list[list[tuple[int, int, str]]]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), structs)
 
 
+def _entity_array(texts: list[str | None], hits: list[list[tuple[int, int, str]]]) -> pa.Array:
+    """Words of the hits, as they stand in the texts, with their labels."""
+    words, labels, ends = [], [], [0]
+    for text, row in zip(texts, hits, strict=True):
+        own = text.split(" ") if row else []
+        words += [" ".join(own[pos : pos + n]) for pos, n, _ in row]
+        labels += [label for _, _, label in row]
+        ends.append(len(words))
+    structs = pa.StructArray.from_arrays([pa.array(words, pa.string()), pa.array(labels, pa.string())], names=["word", "label"])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), structs)
+
+
 def annotate_entities(
     df: DataFrame, row_id: str, col: str, gazetteer: DataFrame, out: str = "entities"
 ) -> DataFrame:
@@ -103,36 +115,45 @@ def annotate_entities(
     table = stage(gazetteer.filter(F.col("phrase").isNotNull()).groupBy("phrase").agg(F.min("label").alias("label")))
     size = table.agg(F.sum(F.octet_length("phrase") + 32)).first()[0] or 0
     parts = size // GAZETTEER_BYTES + 1
-    lowered = F.lower(F.array_join(words_of(F.col(col)), " "))
+    joined = F.array_join(words_of(F.col(col)), " ")
 
-    def hits_of(part: int) -> Callable:
+    def tree_of(part: int):
         mine = table.filter(F.pmod(F.xxhash64(F.substring_index("phrase", " ", 1)), F.lit(parts)) == part)
-        sent = df.sparkSession.sparkContext.broadcast([(r["phrase"], r["label"]) for r in mine.collect()])
+        return df.sparkSession.sparkContext.broadcast([(r["phrase"], r["label"]) for r in mine.collect()])
+
+    def hits_of(part: int) -> Callable:
+        sent = tree_of(part)
 
         @F.arrow_udf(HITS)
         def hits(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             tree = phrase_tree(sent.value)
             for texts in batches:
-                found = [longest_hits(t.split(" ") if t else [], tree) for t in texts.to_pylist()]
-                yield _hit_array([without_overlaps(f) for f in found] if parts == 1 else found)
+                yield _hit_array([longest_hits(t.split(" ") if t else [], tree) for t in texts.to_pylist()])
 
         return hits
 
-    @F.arrow_udf(HITS)
-    def settled(hits: pa.Array) -> pa.Array:
+    if parts == 1:
+        sent = tree_of(0)
+
+        @F.arrow_udf(ENTITIES)
+        def tagged(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+            tree = phrase_tree(sent.value)
+            for own, lowered in batches:
+                found = [without_overlaps(longest_hits(t.split(" ") if t else [], tree)) for t in lowered.to_pylist()]
+                yield _entity_array(own.to_pylist(), found)
+
+        return df.withColumn(out, F.when(F.col(col).isNotNull(), tagged(joined, F.lower(joined))))
+
+    @F.arrow_udf(ENTITIES)
+    def settled(own: pa.Array, hits: pa.Array) -> pa.Array:
         rows = [[(h["pos"], h["len"], h["label"]) for h in r] for r in hits.to_pylist()]
-        return _hit_array([without_overlaps(sorted(r)) for r in rows])
+        return _entity_array(own.to_pylist(), [without_overlaps(sorted(r)) for r in rows])
 
-    hits, words = fresh(df, "_hits"), fresh(df, "_words")
-    found = df.withColumn(hits, hits_of(0)(lowered))
+    hits = fresh(df, "_hits")
+    found = df.withColumn(hits, hits_of(0)(F.lower(joined)))
     for part in range(1, parts):
-        found = stage(found).withColumn(hits, F.concat(hits, hits_of(part)(lowered)))
-    if parts > 1:
-        found = found.withColumn(hits, settled(hits))
-    found = found.withColumn(words, F.when(F.size(hits) > 0, words_of(F.col(col))))
-    entity = lambda h: F.struct(F.array_join(F.slice(words, h["pos"] + 1, h["len"]), " ").alias("word"), h["label"].alias("label"))
-    entities = F.when(F.col(col).isNotNull(), F.transform(hits, entity))
-    return found.withColumn(out, entities).drop(hits, words)
+        found = stage(found).withColumn(hits, F.concat(hits, hits_of(part)(F.lower(joined))))
+    return found.withColumn(out, F.when(F.col(col).isNotNull(), settled(joined, F.col(hits)))).drop(hits)
 
 
 def entity_count(entities: Column) -> Column:

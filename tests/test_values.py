@@ -31,7 +31,7 @@ def plain_entities(text, phrases):
     return out
 
 
-@pytest.mark.parametrize("size", [32 << 20, 100])
+@pytest.mark.parametrize("size", [32 << 20, 1000])
 def test_annotate_entities(spark, monkeypatch, size):
     monkeypatch.setattr(A, "GAZETTEER_BYTES", size)
     rng = random.Random(1)
