@@ -6,8 +6,12 @@ its own group, whose k-th score no final score can be below. In the second pass
 group only if the group's bound ``<q, pivot> + |q| radius`` reaches that score, and is solved there;
 the best of all groups are ranked. Ties at the bound are kept, so results are exact.
 
-Groups and query sets are cut into blocks of at most about ``BLOCK`` rows by a hash of the id, so a
-crowded pivot is many tasks. What is broadcast are pivots and summaries, at most ``PIVOTS`` rows.
+A group's data are cut into blocks of about ``BLOCK`` rows by a hash of the id, and the queries that
+need the group into as many parts as their own number asks for, at most ``PARTS``; a task holds one
+block and streams a part's queries past it. A row goes to a part only if its distance to the pivot
+reaches the least distance at which it could score enough for one of the part's queries, so a group
+that no query needs sends nothing. What is broadcast are pivots and summaries, at most ``PIVOTS``
+rows, and those least distances, at most ``PIVOTS * PARTS`` numbers.
 
 Vectors that are null, empty, or hold null or non-finite components, and rows without an id, take no
 part. Shorter vectors count as padded with zeros. Ids must be unique; ties in score go to the smaller id. No candidates:
@@ -28,6 +32,7 @@ from gazetick.session import stage
 PIVOTS = 1024
 ROWS_PER_PIVOT = 2048
 BLOCK = 4096
+PARTS = 64
 LOWEST = -(2**62)
 
 
@@ -87,13 +92,46 @@ class Groups:
         cell = apart.argmin(axis=1)
         return cell, np.sqrt(((vectors - self.pivots[cell]) ** 2).sum(axis=1))
 
-    def needed(self, query: np.ndarray, least: int) -> np.ndarray:
-        """Groups that may hold a score of at least ``least``; rounding errors only add groups."""
+    def needed(self, query: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """Groups that may hold a score of at least ``least``, and the distance from their pivots that it takes.
+
+        Rounding errors only add groups and shorten distances.
+        """
         query = query.astype(np.float64)
         length = np.sqrt((query**2).sum())
-        bound = self.pivots @ query + length * self.radius
+        middle = self.pivots @ query
         slack = 1e-9 * (length * (self.radius + np.sqrt((self.pivots**2).sum(axis=1))) + 1)
-        return np.flatnonzero((self.blocks > 0) & (bound + slack >= least))
+        cells = np.flatnonzero((self.blocks > 0) & (middle + length * self.radius + slack >= least))
+        if not length:
+            return cells, np.full(len(cells), -np.inf)
+        return cells, (least - slack[cells] - middle[cells]) / length
+
+
+def units(placed: DataFrame, asked: DataFrame, groups: Groups) -> DataFrame:
+    """``cell, block, part, is_query, id, v, least``: queries, and the rows that they need.
+
+    ``placed``: ``id, v, cell, apart``; ``asked``: ``id, v, least, cell, need``, once for each cell that a query needs.
+    """
+    parts = np.zeros(len(groups.pivots), np.int64)
+    for row in asked.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect():  # one row a pivot
+        parts[row.cell] = min(PARTS, -(-row.n // BLOCK))
+    of_cell = lambda numbers: F.element_at(F.lit(numbers.astype(int).tolist()), F.col("cell") + 1)
+    asked = asked.withColumn("part", F.pmod(F.xxhash64("id", F.lit(1)), of_cell(parts)).cast("int"))
+    need = np.full((len(parts), int(parts.max(initial=0))), np.inf)
+    for row in asked.groupBy("cell", "part").agg(F.min("need").alias("need")).collect():  # PIVOTS * PARTS rows at most
+        need[row.cell, row.part] = row.need
+
+    @F.arrow_udf("array<int>")
+    def reached(cell: pa.Array, apart: pa.Array) -> pa.Array:
+        row, part = np.nonzero(need[cell.to_numpy()] <= apart.to_numpy()[:, None])
+        ends = np.searchsorted(row, np.arange(len(cell) + 1))
+        return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(part.astype(np.int32)))
+
+    blocks = of_cell(groups.blocks)
+    data = placed.withColumn("block", F.pmod(F.xxhash64("id"), blocks)).withColumn("part", F.explode(reached("cell", "apart")))
+    data = data.select("cell", "block", "part", F.lit(False).alias("is_query"), "id", "v", F.lit(LOWEST).cast("bigint").alias("least"))
+    everywhere = asked.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
+    return data.unionByName(everywhere.select("cell", "block", "part", F.lit(True).alias("is_query"), "id", "v", "least"))
 
 
 def _solve(k: int, width: int, final: bool):
@@ -141,14 +179,13 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, id: str = "vec_id", vect
     """``query_id, rank, id, score``: for every row where ``is_query`` holds, its k best other rows."""
     spark = vectors.sparkSession
     whole = stage(vectors.filter(F.col(id).isNotNull() & usable(F.col(vector))).select(F.col(id).cast("bigint").alias("id"), scaled(F.col(vector), scale).alias("v"), is_query.alias("asks")))
-    rows, width, asking = whole.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("v")), F.lit(1)), F.count_if("asks")).first()
+    rows, width = whole.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("v")), F.lit(1))).first()
     result = "query_id long, id long, score long"
     if not rows:
         return spark.createDataFrame([], "query_id long, rank int, id long, score long")
     wanted = min(PIVOTS, max(1, rows // ROWS_PER_PIVOT))
     picked = whole.select("v", "id").orderBy(F.xxhash64("id"), "id").limit(wanted).toArrow()  # at most PIVOTS rows
     groups = Groups(matrix(picked.column("v"), width))
-    parts = -(-asking // BLOCK) or 1
 
     @F.arrow_udf("struct<cell:int,apart:double>")
     def place(column: pa.Array) -> pa.Array:
@@ -158,29 +195,25 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, id: str = "vec_id", vect
     placed = stage(whole.withColumn("_p", place("v")).select("id", "v", "asks", "_p.*"))
     for row in placed.groupBy("cell").agg(F.max("apart").alias("radius"), F.count(F.lit(1)).alias("n")).collect():  # one row a pivot
         groups.radius[row.cell], groups.blocks[row.cell] = row.radius, -(-row.n // BLOCK)
-    blocks = F.element_at(F.lit(groups.blocks.astype(int).tolist()), F.col("cell") + 1)
-    part = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(parts))
-    none = F.lit(LOWEST).cast("bigint").alias("least")
-    data = placed.withColumn("block", F.pmod(F.xxhash64("id"), blocks)).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    data = data.select("cell", "block", F.col("part").cast("bigint").alias("part"), F.lit(False).alias("is_query"), "id", "v", none)
-
-    def solved(queries: DataFrame, final: bool) -> DataFrame:
-        everywhere = queries.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
-        asked = everywhere.select("cell", "block", part.alias("part"), F.lit(True).alias("is_query"), "id", "v", "least")
-        units = data.unionByName(asked).repartition("cell", "block", "part").sortWithinPartitions("cell", "block", "part", "is_query")
-        return units.mapInArrow(_solve(k, width, final), result)
+
+    def solved(asked: DataFrame, final: bool) -> DataFrame:
+        dealt = units(placed.select("id", "v", "cell", "apart"), asked, groups).repartition("cell", "block", "part")
+        return dealt.sortWithinPartitions("cell", "block", "part", "is_query").mapInArrow(_solve(k, width, final), result)
 
     queries = placed.filter("asks")
+    at_home = queries.select("id", "v", F.lit(LOWEST).cast("bigint").alias("least"), "cell", F.lit(float("-inf")).alias("need"))
     # The k-th score of any block of the own group bounds the final k-th score from below.
-    home = solved(queries.select("id", "v", "cell", none), False).groupBy(F.col("query_id").alias("id")).agg(F.max("score").alias("least"))
+    home = solved(at_home, False).groupBy(F.col("query_id").alias("id")).agg(F.max("score").alias("least"))
     known = queries.select("id", "v").join(home, "id", "left").select("id", "v", F.coalesce("least", F.lit(LOWEST)).alias("least"))
 
-    @F.arrow_udf("array<int>")
+    @F.arrow_udf("array<struct<cell:int,need:double>>")
     def cells(column: pa.Array, least: pa.Array) -> pa.Array:
-        needed = [groups.needed(q, m) for q, m in zip(matrix(column, width), least.to_numpy(), strict=True)] if len(column) else []
-        return pa.array(needed, pa.list_(pa.int32()))
+        each = [groups.needed(q, m) for q, m in zip(matrix(column, width), least.to_numpy(), strict=True)] if len(column) else []
+        flat = [np.concatenate([np.empty(0), *x]) for x in zip(*each, strict=True)] or [np.empty(0)] * 2
+        routes = pa.StructArray.from_arrays([pa.array(flat[0].astype(np.int32)), pa.array(flat[1])], names=["cell", "need"])
+        return pa.ListArray.from_arrays(pa.array(np.cumsum([0] + [len(c) for c, _ in each]), pa.int32()), routes)
 
-    spread = known.withColumn("cell", F.explode(cells("v", "least")))
-    found = stage(solved(spread, True))
+    routed = stage(known.withColumn("routes", cells("v", "least")))
+    found = stage(solved(routed.select("id", "v", "least", F.inline("routes")), True))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "id", "score")

@@ -44,6 +44,9 @@ def test_exact(spark, monkeypatch):
     assert run(spark, rows, 7, 5) == want
     monkeypatch.setattr(K, "BLOCK", 16)
     assert run(spark, rows, 7, 5) == want
+    monkeypatch.setattr(K, "BLOCK", 2)
+    monkeypatch.setattr(K, "PARTS", 3)
+    assert run(spark, rows, 7, 2) == by_hand(rows, 7, 2)
 
 
 def test_clustered_data_skips_groups(spark, monkeypatch):
@@ -53,7 +56,31 @@ def test_clustered_data_skips_groups(spark, monkeypatch):
     assert run(spark, rows, 5, 10) == by_hand(rows, 5, 10)
     groups = K.Groups(np.array([[100.0, 0], [0, 100.0]]))
     groups.radius, groups.blocks = np.array([2.0, 2.0]), np.array([1, 1])
-    assert groups.needed(np.array([100, 0]), 9000).tolist() == [0]
+    cells, need = groups.needed(np.array([100, 0]), 9000)
+    assert cells.tolist() == [0] and np.allclose(need, -10)
+
+
+def test_data_goes_only_where_queries_need_it(spark, monkeypatch):
+    monkeypatch.setattr(K, "BLOCK", 8)
+    groups = K.Groups(np.array([[10.0, 0], [0, 10.0], [-10.0, 0]]))
+    groups.radius, groups.blocks = np.array([4.0, 4.0, 4.0]), np.array([2, 2, 2])
+    rows = [(cell * 100 + i, [0, 0], cell, i / 4) for cell in range(3) for i in range(16)]
+    placed = spark.createDataFrame(rows, "id long, v array<long>, cell int, apart double")
+
+    def sent(asked):
+        asked = spark.createDataFrame(asked, "id long, v array<long>, least long, cell int, need double")
+        found = K.units(placed, asked, groups).collect()
+        return sorted((r.id, r.part) for r in found if not r.is_query), sum(r.is_query for r in found)
+
+    # Eight queries of one cell fill one part; rows nearer to the pivot than any of them needs stay.
+    few = [(1000 + i, [1, 0], 5, 0, 2.0 + i) for i in range(8)]
+    assert sent(few) == ([(i, 0) for i in range(8, 16)], 16)
+    # Five times as many in that cell split that cell alone; the cell that none needs sends nothing.
+    many = [(1000 + i, [1, 0], 5, 0, -1.0) for i in range(40)] + [(1, [0, 1], 5, 1, 3.75)]
+    data, asked = sent(many)
+    assert data == sorted([(i, part) for i in range(16) for part in range(5)] + [(115, 0)]) and asked == 82
+    monkeypatch.setattr(K, "PARTS", 2)
+    assert len(sent(many)[0]) == 2 * 16 + 1
 
 
 def test_few_rows(spark):
