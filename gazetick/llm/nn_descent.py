@@ -9,10 +9,12 @@ on if it improves a list; a pair at or above the threshold is a link, whether or
 A list filled with links is saturated: more links may exist than it holds. It is enlarged to its
 whole component, which is compared block by block, and only the numbers of links leave the tasks.
 
-Recall is audited: for vectors in the order of a hash all their links are found by brute force, until
-enough links were judged or all vectors were asked; then the links are whole. Below the wanted recall
-the search goes on from fresh sort orders. If these find nothing new, all vectors are asked. So a table
-with few links is compared whole, which is quadratic.
+Close vectors without close neighbours only meet along a hyperplane, so the number of sort orders grows
+with the logarithm of the table: as many as leave a pair at the threshold unmet with probability ``UNMET``.
+
+Recall is audited and never part of the result: ``AUDITED`` vectors picked by hash are compared with all
+rows in one scan, and their true links counted. Below the wanted recall the search goes on from fresh
+orders and keeps all it found before; after ``ATTEMPTS`` searches below it, an error is raised.
 
 Equal vectors are one point with a multiplicity; they link to each other and share all other links.
 Vectors that are null, empty, zero, or hold null or non-finite components link with nothing. Shorter
@@ -22,8 +24,8 @@ links and no root. Cosines are computed in double precision.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -35,15 +37,17 @@ from gazetick.plans.components import connected_components
 from gazetick.session import stage
 
 NEIGHBOURS = 8
-#: Sort orders of a search, and how many following rows a row is compared with in each.
-ORDERS, FOLLOWING = 8, 8
+#: Sort orders that fill lists; rows that follow a row and are compared with it for its list, and for links.
+ORDERS, FOLLOWING, LINKING = 8, 8, 32
+#: Probability that a pair at the threshold stands side by side in no order of a search.
+UNMET = 0.004
 ROUNDS = 3
 #: A search ends when fewer than this part of the list entries is new.
 SETTLED = 0.01
-#: The recall the audit wants, and the links it judges at least where there are so many.
-RECALL, JUDGED = 0.99, 1000
-#: Vectors the audit asks for at first; twice as many each time, up to a bound, as every task gets them.
-AUDITED, ASKED_AT_ONCE = 256, 4096
+#: The recall the audit wants, the vectors it asks for, and the searches it allows.
+RECALL, AUDITED, ATTEMPTS = 0.99, 4096, 6
+#: A true link counts from this far above the threshold, as two ways to sum may differ in the last bits.
+ROUNDING = 1e-9
 BLOCK = 1024
 PAIRS = "a long, b long, cosine double"
 CLOSED = 2.0  # a bound no cosine can beat
@@ -60,8 +64,23 @@ def _pairs(a, b, cosine) -> pa.RecordBatch:
     return pa.record_batch([pa.array(join(a, np.int64)), pa.array(join(b, np.int64)), pa.array(join(cosine, np.float64))], names=["a", "b", "cosine"])
 
 
+def orders_needed(n: int, threshold: float) -> int:
+    """Sort orders after which a pair at the threshold has met but for a probability of ``UNMET``.
+
+    Two vectors stand within ``LINKING`` rows where their first log2(n / LINKING) signs agree, each with
+    the probability 1 - angle / pi.
+    """
+    agree = 1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi
+    meet = agree ** max(1.0, math.log2(max(n, 1) / LINKING))
+    return max(ORDERS, math.ceil(math.log(UNMET) / math.log1p(-meet)) if 0 < meet < 1 else ORDERS)
+
+
 def _side_by_side(width: int, k: int, threshold: float):
-    """Rows sorted by ``order, code``: of each row its ``k`` best among the rows around, and all links there."""
+    """Rows sorted by ``order, code``: of each row its ``k`` best among the rows around, and all links there.
+
+    Lists are filled from the ``FOLLOWING`` next rows in the first ``ORDERS`` orders, links from the
+    ``LINKING`` next rows in all.
+    """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: tuple | None = None
@@ -71,21 +90,27 @@ def _side_by_side(width: int, k: int, threshold: float):
             n = len(ids)
             near = np.full((n, 2 * FOLLOWING), -CLOSED)
             other = np.zeros((n, 2 * FOLLOWING), np.int64)
-            for step in range(1, min(FOLLOWING, n - 1) + 1):
+            out: list[list] = [[], [], []]
+            for step in range(1, min(LINKING, n - 1) + 1):
                 cosine = np.where(order[:-step] == order[step:], np.einsum("ij,ij->i", units[:-step], units[step:]), -CLOSED)
-                near[:-step, step - 1], other[:-step, step - 1] = cosine, ids[step:]
-                near[step:, FOLLOWING + step - 1], other[step:, FOLLOWING + step - 1] = cosine, ids[:-step]
-            row, place = np.nonzero((near > -CLOSED) & ((near >= threshold) | (near >= np.partition(near, -k, axis=1)[:, -k][:, None])))
-            yield _pairs([ids[row]], [other[row, place]], [near[row, place]])
-            kept = order[-FOLLOWING:], ids[-FOLLOWING:], units[-FOLLOWING:]
+                if step <= FOLLOWING:
+                    near[:-step, step - 1], other[:-step, step - 1] = cosine, ids[step:]
+                    near[step:, FOLLOWING + step - 1], other[step:, FOLLOWING + step - 1] = cosine, ids[:-step]
+                linked = np.flatnonzero(cosine >= threshold)
+                for part, values in zip(out, ((ids[linked], ids[linked + step]), (ids[linked + step], ids[linked]), (cosine[linked],) * 2), strict=True):
+                    part += values
+            fill = (near > -CLOSED) & (near < threshold) & (order < ORDERS)[:, None]
+            row, place = np.nonzero(fill & (near >= np.partition(near, -k, axis=1)[:, -k][:, None]))
+            yield _pairs([*out[0], ids[row]], [*out[1], other[row, place]], [*out[2], near[row, place]])
+            kept = order[-LINKING:], ids[-LINKING:], units[-LINKING:]
 
     return compare
 
 
-def first_lists(points: DataFrame, width: int, seed: int, k: int, threshold: float) -> DataFrame:
+def first_lists(points: DataFrame, n: int, width: int, seed: int, k: int, threshold: float) -> DataFrame:
     """Pairs of vectors that stand side by side along random hyperplanes' sign codes."""
     # 63 signs an order are one sortable number; the planes are drawn anew for each order and search.
-    planes = np.random.default_rng(seed).normal(size=(ORDERS, width, 63))
+    planes = np.random.default_rng(seed).normal(size=(orders_needed(n, threshold), width, 63))
     weights = 1 << np.arange(62, -1, -1, dtype=np.int64)
 
     @F.arrow_udf("array<long>")
@@ -157,7 +182,7 @@ def refine(points: DataFrame, lists: DataFrame, width: int, k: int, threshold: f
 def search(points: DataFrame, n: int, width: int, threshold: float, k: int, seed: int, rounds: int) -> tuple[DataFrame, DataFrame]:
     """``lists, links`` after first lists and up to ``rounds`` rounds."""
     is_link = F.col("cosine") >= threshold
-    pairs = stage(first_lists(points, width, seed, k, threshold)).withColumn("fresh", F.lit(True))
+    pairs = stage(first_lists(points, n, width, seed, k, threshold)).withColumn("fresh", F.lit(True))
     links = pairs.filter(is_link).select("a", "b")
     lists = stage(best_lists(pairs, k))
     for _ in range(rounds):
@@ -230,35 +255,20 @@ def _brute_force(asked: pa.Table, width: int, threshold: float):
     return scan
 
 
-def judge(points: DataFrame, classes: DataFrame, links: DataFrame, width: int, threshold: float, wanted: float) -> tuple[float, bool, DataFrame]:
-    """``recall, whole, missed``: the part of the asked vectors' links, by brute force, that were found, whether
-    all vectors were asked, and the links not found, ``a, b``. Without any link the recall is 1.
+def audit(points: DataFrame, classes: DataFrame, links: DataFrame, width: int, threshold: float, asked: int = AUDITED) -> tuple[float, int]:
+    """The part of the true links of ``asked`` vectors picked by hash that was found, and how many links that judges.
 
-    Vectors are asked until ``wanted`` links were judged or none is left. A pair of one enlarged component
-    counts as found.
+    One scan compares them with all rows. A pair of one enlarged component counts as found. Without any true
+    link the recall is 1, judged by 0 links.
     """
-    placed = stage(points.select("id", "v").join(classes.select("id", "root", "dense"), "id").withColumn("at", F.xxhash64("id", F.lit(5))))
-    left, size, total, found = placed, AUDITED, 0, 0
-    whole, missed = False, links.limit(0)
-    while total < wanted and not whole:
-        asked = left.orderBy("at", "id").limit(size).toArrow()  # at most ASKED_AT_ONCE rows
-        whole = asked.num_rows < size
-        if not asked.num_rows:
-            break
-        true = stage(placed.select("id", "v", "root").mapInArrow(_brute_force(asked, width, threshold), "a long, b long, n long"))
-        unseen = true.filter("a is not null").select("a", "b").join(links, ["a", "b"], "left_anti")
-        here, lost = true.agg(F.sum("n")).first()[0], unseen.count()
-        total, found = total + here, found + here - lost
-        missed = missed.union(unseen) if lost else missed
-        at, id = asked.column("at")[-1].as_py(), asked.column("id")[-1].as_py()
-        left = placed.filter((F.col("at") > at) | (F.col("at") == at) & (F.col("id") > id))
-        size = min(size * 2, ASKED_AT_ONCE)
-    return found / total if total else 1.0, whole, missed
-
-
-def audit(points: DataFrame, classes: DataFrame, links: DataFrame, width: int, threshold: float) -> float:
-    """The recall of ``links``, measured on ``JUDGED`` true links or on all there are."""
-    return judge(points, classes, links, width, threshold, JUDGED)[0]
+    placed = stage(points.select("id", "v").join(classes.select("id", "root", "dense"), "id"))
+    sample = placed.orderBy(F.xxhash64("id", F.lit(5)), "id").limit(asked).toArrow()  # at most ``asked`` rows
+    if not sample.num_rows:
+        return 1.0, 0
+    true = stage(placed.select("id", "v", "root").mapInArrow(_brute_force(sample, width, threshold + ROUNDING), "a long, b long, n long"))
+    total = true.agg(F.sum("n")).first()[0]
+    lost = true.filter("a is not null").select("a", "b").join(links, ["a", "b"], "left_anti").count()
+    return (total - lost) / total if total else 1.0, total
 
 
 def _classes(points: DataFrame, links: DataFrame, lists: DataFrame, threshold: float, k: int) -> DataFrame:
@@ -279,22 +289,16 @@ def near_duplicates(
     good = every.filter(fit)
     points = stage(good.groupBy("v").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies")))
     n, width = points.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("v")), F.lit(1))).first()
-    links, known = spark.createDataFrame([], "a long, b long"), 0
-    for attempt in count():
+    links = spark.createDataFrame([], "a long, b long")
+    for attempt in range(ATTEMPTS):
         lists, found = search(points, n, width, threshold, k, seed + attempt, rounds)
-        both = found.union(found.select("b", "a"))
-        links = stage(links.union(both).distinct())
+        links = stage(links.union(found).union(found.select("b", "a")).distinct())
         classes = _classes(points, links, lists, threshold, k)
-        known, before = links.count(), known
-        recall, whole, missed = judge(points, classes, links, width, threshold, JUDGED)
-        if recall < RECALL and not whole and known == before:
-            _, whole, missed = judge(points, classes, links, width, threshold, float("inf"))
-        if recall >= RECALL or whole:
+        recall, judged = audit(points, classes, links, width, threshold)
+        if recall >= RECALL:
             break
-    # Links that only the audit saw are links too; where it asked for all vectors, nothing is missing then.
-    if not missed.isEmpty():
-        links = stage(links.union(missed).union(missed.select("b", "a")).distinct())
-        classes = _classes(points, links, lists, threshold, k)
+    else:
+        raise RuntimeError(f"recall {recall:.4f} of {judged} audited links after {ATTEMPTS} searches, {RECALL} wanted")
     members = classes.filter("dense").groupBy("root").agg(F.count(F.lit(1)).alias("members"))
     inside = classes.filter("dense").join(members, "root").join(points, "id")
     sparse = links.join(classes.filter(~F.col("dense")).select(F.col("id").alias("a")), "a")
