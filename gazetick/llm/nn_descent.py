@@ -6,8 +6,9 @@ neighbours-of-neighbours: each vector is a pivot at which the members of its lis
 that list it, are compared with each other, where at least one of the two is new there. A pair goes
 on if it improves a list; a pair at or above the threshold is a link, whether or not a list has room.
 
-A list filled with links is saturated: more links may exist than it holds. It is enlarged to its
-whole component, which is compared block by block, and only the numbers of links leave the tasks.
+A list filled with links is saturated: more links may exist than it holds. It is enlarged until it holds
+all: the vector is compared with its whole component, block by block, and only the numbers of links leave
+the tasks. The work grows with a component's saturated vectors, not with the square of its size.
 
 Close vectors without close neighbours only meet along a hyperplane, so the number of sort orders grows
 with the logarithm of the table: as many as leave a pair at the threshold unmet with probability ``UNMET``.
@@ -48,7 +49,8 @@ SETTLED = 0.01
 RECALL, AUDITED, ATTEMPTS = 0.99, 4096, 6
 #: A true link counts from this far above the threshold, as two ways to sum may differ in the last bits.
 ROUNDING = 1e-9
-BLOCK = 1024
+#: Saturated points that a task holds of a component, and members that pass by them.
+BLOCK, STREAM = 1024, 65_536
 PAIRS = "a long, b long, cosine double"
 CLOSED = 2.0  # a bound no cosine can beat
 
@@ -79,7 +81,8 @@ def _side_by_side(width: int, k: int, threshold: float):
     """Rows sorted by ``order, code``: of each row its ``k`` best among the rows around, and all links there.
 
     Lists are filled from the ``FOLLOWING`` next rows in the first ``ORDERS`` orders, links from the
-    ``LINKING`` next rows in all.
+    ``LINKING`` next rows in all. A row that already has ``k`` links here will be enlarged, so a further link
+    of its goes on only if no chain of nearer ones connects the same two rows.
     """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,15 +93,20 @@ def _side_by_side(width: int, k: int, threshold: float):
             n = len(ids)
             near = np.full((n, 2 * FOLLOWING), -CLOSED)
             other = np.zeros((n, 2 * FOLLOWING), np.int64)
-            out: list[list] = [[], [], []]
+            linked = np.zeros((LINKING + 1, n), bool)
+            values = np.zeros((LINKING + 1, n))
             for step in range(1, min(LINKING, n - 1) + 1):
                 cosine = np.where(order[:-step] == order[step:], np.einsum("ij,ij->i", units[:-step], units[step:]), -CLOSED)
                 if step <= FOLLOWING:
                     near[:-step, step - 1], other[:-step, step - 1] = cosine, ids[step:]
                     near[step:, FOLLOWING + step - 1], other[step:, FOLLOWING + step - 1] = cosine, ids[:-step]
-                linked = np.flatnonzero(cosine >= threshold)
-                for part, values in zip(out, ((ids[linked], ids[linked + step]), (ids[linked + step], ids[linked]), (cosine[linked],) * 2), strict=True):
-                    part += values
+                linked[step, :-step], values[step, :-step] = cosine >= threshold, cosine
+            step, row = np.nonzero(linked)
+            nearest = linked.argmax(axis=0)[row]
+            chained = (nearest < step) & linked[step - nearest, row + nearest]
+            goes = (step <= FOLLOWING) | ((near >= threshold).sum(axis=1)[row] < k) | ~chained
+            step, row = step[goes], row[goes]
+            out = [[ids[row], ids[row + step]], [ids[row + step], ids[row]], [values[step, row]] * 2]
             fill = (near > -CLOSED) & (near < threshold) & (order < ORDERS)[:, None]
             row, place = np.nonzero(fill & (near >= np.partition(near, -k, axis=1)[:, -k][:, None]))
             yield _pairs([*out[0], ids[row]], [*out[1], other[row, place]], [*out[2], near[row, place]])
@@ -195,7 +203,10 @@ def search(points: DataFrame, n: int, width: int, threshold: float, k: int, seed
 
 
 def _count_block(width: int, threshold: float):
-    """Rows sorted by unit, the first side before the second: how many links each row has on the other side."""
+    """Rows sorted by unit, the saturated before the members: the links between them, counted on both sides.
+
+    A saturated member is counted where it stands on the first side.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit_at, first = None, []
@@ -204,21 +215,22 @@ def _count_block(width: int, threshold: float):
                 continue
             keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("root", "i", "j")], axis=1)
             side, ids, copies = (batch.column(c).to_numpy().astype(np.int64) for c in ("side", "id", "copies"))
+            full = batch.column("full").to_numpy(zero_copy_only=False).astype(bool)
             units = unit(matrix(batch.column("v"), width))
             starts = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(axis=1)))
             out: list[list] = [[], []]
             for low, high in zip(starts, np.append(starts[1:], len(ids)), strict=True):
                 if unit_at != tuple(keys[low]):
                     unit_at, first = tuple(keys[low]), []
-                rows = np.arange(low, high)
-                second = rows[side[rows] == 1]
-                if len(rows) > len(second):
-                    mine = rows[side[rows] == 0]
-                    first.append((ids[mine], copies[mine], units[mine]))
-                for names, many, vectors in first if len(second) else []:
-                    near = (vectors @ units[second].T >= threshold) & (names[:, None] != ids[second][None, :])
-                    out[0] += [names, ids[second]] if unit_at[1] != unit_at[2] else [names]
-                    out[1] += [near @ copies[second], many @ near] if unit_at[1] != unit_at[2] else [near @ copies[second]]
+                middle = low + int(np.searchsorted(side[low:high], 1))
+                if middle > low:
+                    first.append((ids[low:middle], copies[low:middle], units[low:middle]))
+                for at in range(middle, high, BLOCK):
+                    second = slice(at, min(at + BLOCK, high))
+                    for names, many, vectors in first:
+                        near = (vectors @ units[second].T >= threshold) & (names[:, None] != ids[second][None, :])
+                        out[0] += [names, ids[second][~full[second]]]
+                        out[1] += [near @ copies[second], (many @ near)[~full[second]]]
             if out[0]:
                 yield pa.record_batch([pa.array(np.concatenate(x).astype(np.int64)) for x in out], names=["id", "n"])
 
@@ -226,19 +238,27 @@ def _count_block(width: int, threshold: float):
 
 
 def enlarged_counts(points: DataFrame, width: int, threshold: float) -> DataFrame:
-    """``id, n``: links of the points (with ``root`` and the root's ``members``) to all copies in their component."""
-    last = (F.ceil(F.col("members") / F.lit(BLOCK)) - 1).cast("int")
-    own = points.withColumn("_own", F.pmod(F.xxhash64("id"), last + 1).cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), last)))
-    sides = F.when(F.col("_own") == F.col("_other"), F.array(F.lit(0), F.lit(1))).when(F.col("_own") < F.col("_other"), F.array(F.lit(0))).otherwise(F.array(F.lit(1)))
-    units = own.select("root", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), F.explode(sides).alias("side"), "id", "copies", "v")
+    """``id, n``: links, to all copies, of pairs in one component of which at least one side is saturated.
+
+    ``points`` carry ``root``, whether they are saturated (``full``), and the numbers of their component's
+    saturated points and of all its ``members``. Both are cut by a hash: saturated ones into blocks that a task
+    holds, members into longer ones that stream past them.
+    """
+    blocks = (F.ceil(F.col("saturated") / F.lit(BLOCK)) - 1).cast("int")
+    streams = (F.ceil(F.col("members") / F.lit(STREAM)) - 1).cast("int")
+    every = lambda last: F.explode(F.sequence(F.lit(0), last))
+    one = lambda last, seed: F.pmod(F.xxhash64("id", F.lit(seed)), last + 1).cast("int")
+    held = points.filter("full").withColumn("i", one(blocks, 0)).withColumn("j", every(streams)).withColumn("side", F.lit(0))
+    passing = points.withColumn("j", one(streams, 1)).withColumn("i", every(blocks)).withColumn("side", F.lit(1))
+    units = held.unionByName(passing).select("root", "i", "j", "side", "id", "copies", "full", "v")
     ordered = units.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j", "side")
     return ordered.mapInArrow(_count_block(width, threshold), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def _brute_force(asked: pa.Table, width: int, threshold: float):
-    """``a, b, n``: links of the asked vectors, where ``n`` is 1; those inside an enlarged component are only counted."""
+    """``a, b, n``: links of the asked vectors, where ``n`` is 1; those with a saturated side, inside a component, are only counted."""
     names, units = asked.column("id").to_numpy(), unit(matrix(asked.column("v"), width))
-    roots, dense = asked.column("root").to_numpy(), asked.column("dense").to_numpy(zero_copy_only=False).astype(bool)
+    roots, full = asked.column("root").to_numpy(), asked.column("full").to_numpy(zero_copy_only=False).astype(bool)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -247,7 +267,8 @@ def _brute_force(asked: pa.Table, width: int, threshold: float):
                 ids, root = rows.column("id").to_numpy(), rows.column("root").to_numpy()
                 cosine = units @ unit(matrix(rows.column("v"), width)).T
                 a, b = np.nonzero((cosine >= threshold) & (names[:, None] != ids[None, :]))
-                inside = dense[a] & (roots[a] == root[b])
+                there = rows.column("full").to_numpy(zero_copy_only=False).astype(bool)
+                inside = (full[a] | there[b]) & (roots[a] == root[b])
                 a, b, counted = a[~inside], b[~inside], int(inside.sum())
                 columns = [pa.array([*x.tolist(), None], pa.int64()) for x in (names[a], ids[b])]
                 yield pa.record_batch([*columns, pa.array([1] * len(a) + [counted], pa.int64())], names=["a", "b", "n"])
@@ -258,25 +279,24 @@ def _brute_force(asked: pa.Table, width: int, threshold: float):
 def audit(points: DataFrame, classes: DataFrame, links: DataFrame, width: int, threshold: float, asked: int = AUDITED) -> tuple[float, int]:
     """The part of the true links of ``asked`` vectors picked by hash that was found, and how many links that judges.
 
-    One scan compares them with all rows. A pair of one enlarged component counts as found. Without any true
+    One scan compares them with all rows. A pair of one component with a saturated side counts as found. Without any true
     link the recall is 1, judged by 0 links.
     """
-    placed = stage(points.select("id", "v").join(classes.select("id", "root", "dense"), "id"))
+    placed = stage(points.select("id", "v").join(classes.select("id", "root", "full"), "id"))
     sample = placed.orderBy(F.xxhash64("id", F.lit(5)), "id").limit(asked).toArrow()  # at most ``asked`` rows
     if not sample.num_rows:
         return 1.0, 0
-    true = stage(placed.select("id", "v", "root").mapInArrow(_brute_force(sample, width, threshold + ROUNDING), "a long, b long, n long"))
+    true = stage(placed.select("id", "v", "root", "full").mapInArrow(_brute_force(sample, width, threshold + ROUNDING), "a long, b long, n long"))
     total = true.agg(F.sum("n")).first()[0]
     lost = true.filter("a is not null").select("a", "b").join(links, ["a", "b"], "left_anti").count()
     return (total - lost) / total if total else 1.0, total
 
 
 def _classes(points: DataFrame, links: DataFrame, lists: DataFrame, threshold: float, k: int) -> DataFrame:
-    """``id, root, dense``: components, and whether one of their lists is filled with links."""
-    roots = stage(connected_components(links.filter("a < b"), points.select("id")))
-    held = lists.filter(F.col("cosine") >= threshold).groupBy("a").agg(F.count(F.lit(1)).alias("held")).filter(F.col("held") >= k)
-    crowded = roots.join(held.select(F.col("a").alias("id")), "id").select("root").distinct().withColumn("dense", F.lit(True))
-    return stage(roots.join(crowded, "root", "left").select("id", "root", F.coalesce("dense", F.lit(False)).alias("dense")))
+    """``id, root, full``: components, and whether the list is saturated, filled with links."""
+    roots = connected_components(links.filter("a < b"), points.select("id"))
+    held = lists.filter(F.col("cosine") >= threshold).groupBy(F.col("a").alias("id")).agg(F.count(F.lit(1)).alias("held"))
+    return stage(roots.join(held, "id", "left").select("id", "root", (F.coalesce("held", F.lit(0)) >= k).alias("full")))
 
 
 def near_duplicates(
@@ -299,11 +319,12 @@ def near_duplicates(
             break
     else:
         raise RuntimeError(f"recall {recall:.4f} of {judged} audited links after {ATTEMPTS} searches, {RECALL} wanted")
-    members = classes.filter("dense").groupBy("root").agg(F.count(F.lit(1)).alias("members"))
-    inside = classes.filter("dense").join(members, "root").join(points, "id")
-    sparse = links.join(classes.filter(~F.col("dense")).select(F.col("id").alias("a")), "a")
-    sparse = sparse.join(points.select(F.col("id").alias("b"), "copies"), "b").groupBy(F.col("a").alias("id")).agg(F.sum("copies").alias("n"))
-    counts = enlarged_counts(inside, width, threshold).unionByName(sparse)
+    sizes = classes.groupBy("root").agg(F.count_if("full").alias("saturated"), F.count(F.lit(1)).alias("members")).filter("saturated > 0")
+    inside = classes.join(sizes, "root").join(points, "id")
+    roomy = classes.filter(~F.col("full")).select("id")
+    pairs = links.join(roomy.withColumnRenamed("id", "a"), "a").join(roomy.withColumnRenamed("id", "b"), "b")
+    sparse = pairs.join(points.select(F.col("id").alias("b"), "copies"), "b").groupBy(F.col("a").alias("id")).agg(F.sum("copies").alias("n"))
+    counts = enlarged_counts(inside, width, threshold).unionByName(sparse).groupBy("id").agg(F.sum("n").alias("n"))
     solved = points.join(counts, "id", "left").join(classes, "id")
     solved = solved.select("v", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "root")
     rows = good.join(solved, "v").select("id", "n_links", "root")

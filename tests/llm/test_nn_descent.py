@@ -52,6 +52,7 @@ def corpus(seed, width=24):
 @pytest.mark.parametrize("block", [1024, 32])
 def test_links_and_classes(spark, monkeypatch, block):
     monkeypatch.setattr(N, "BLOCK", block)
+    monkeypatch.setattr(N, "STREAM", 2 * block)
     rows = corpus(block)
     frame = spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA)
     got = {r.id: (r.n_links, r.root) for r in N.near_duplicates(frame).collect()}
@@ -69,7 +70,7 @@ def test_few_rows(spark):
 def test_audit_sees_what_is_missing(spark):
     rows = corpus(5)
     frame = spark.createDataFrame([(i, v, 1) for i, v in rows if i >= 0], "id long, v array<float>, copies long")
-    classes = frame.selectExpr("id", "id as root", "false as dense")
+    classes = frame.selectExpr("id", "id as root", "false as full")
     none = spark.createDataFrame([], "a long, b long")
     recall, judged = N.audit(frame, classes, none, 24, 0.95)
     assert recall == 0.0 and judged > 100
@@ -111,6 +112,19 @@ def test_search_alone_finds_few_links_among_many_vectors(spark, tmp_path):
     assert got <= want and len(got) >= 0.99 * len(want)
 
 
+def test_a_saturated_vector_meets_its_component(spark, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK", 4)
+    monkeypatch.setattr(N, "STREAM", 6)
+    rng = np.random.default_rng(2)
+    rows = [(i, [*map(float, v)], 1 + i % 3, 7, i % 5 == 0, 6, 30) for i, v in enumerate(rng.normal(size=(30, 2)))]
+    frame = spark.createDataFrame(rows, "id long, v array<double>, copies long, root long, full boolean, saturated long, members long")
+    units = np.array([r[1] for r in rows]) / np.linalg.norm([r[1] for r in rows], axis=1, keepdims=True)
+    near = (units @ units.T >= 0.9) & ~np.eye(30, dtype=bool)
+    copies, full = np.array([r[2] for r in rows]), np.array([r[4] for r in rows])
+    want = np.where(full, near @ copies, (near & full[None, :]) @ copies)
+    assert {r.id: r.n for r in N.enlarged_counts(frame, 2, 0.9).collect()} == dict(enumerate(want.tolist()))
+
+
 def test_orders_grow_with_the_logarithm():
     counts = [N.orders_needed(10**p, 0.95) for p in range(0, 10)]
     assert counts == sorted(counts) and counts[0] == N.ORDERS and counts[-1] < 100
