@@ -1,16 +1,17 @@
 """Byte-level BPE encoding and decoding as a tree reduction.
 
 Texts under concatenation and token sequences under ``join`` are monoids, and encoding maps the one
-to the other: a text is cut in halves down to small leaves, leaves are encoded, and neighbours are
-joined by encoding anew a window around their border. The window grows until both of its ends are
-cuts that no context can move, which proves that the tokens outside stay as they are. Decoding
-concatenates the bytes of the leaves up the same kind of tree.
-
-A cut that no context can move: a letter or digit followed by a blank or newline. No alternative of
-the pattern holds a white-space character behind another character, so a match ends there; the only
+to the other: a text is cut in halves down to leaves of ``LEAF`` characters, leaves are encoded, and
+neighbours are joined by encoding anew a window around their border. The window grows until both of its
+ends are cuts that no context can move, which proves that the tokens outside stay as they are. Leaves and
+windows are encoded by the public library with the given ranks; no call sees more of a text than those.
+Decoding concatenates the bytes of the leaves up the same kind of tree.
+
+A cut that no context can move: a blank or newline behind a character that is no white space. No alternative
+of the pattern holds a white-space character behind another character, so a match ends there; the only
 look-ahead is taken by matches of white space, and the match that ends there holds none at its end.
 
-Nulls and empty texts encode to no tokens; empty sequences decode to no bytes. A lone surrogate
+Nulls and empty texts encode to no tokens; empty sequences decode to no bytes; an empty table stays empty. A lone surrogate
 cannot come out of Spark's UTF-8 strings. Rows are independent: ties and repeated rows change
 nothing, and other columns pass through.
 """
@@ -18,6 +19,7 @@ nothing, and other columns pass through.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -29,10 +31,10 @@ from pyspark.sql import functions as F
 from gazetick.llm.common import small_batches
 
 #: Characters of a leaf, tokens of a leaf in decoding, and the first window's reach on either side.
-LEAF = 4096
+LEAF = 64
 REACH = 32
 
-Encode = Callable[[str], np.ndarray]
+Encode = Callable[[str], Sequence[int]]
 
 
 def left_cut(text: str, low: int, middle: int) -> int:
@@ -41,7 +43,7 @@ def left_cut(text: str, low: int, middle: int) -> int:
     while True:
         start = max(low, middle - reach)
         for i in range(middle - 1, start, -1):
-            if text[i] in " \n" and text[i - 1].isalnum():
+            if text[i] in " \n" and not text[i - 1].isspace():
                 return i
         if start == low:
             return low
@@ -54,18 +56,18 @@ def right_cut(text: str, middle: int, high: int) -> int:
     while True:
         end = min(high, middle + reach)
         for i in range(middle + 1, end):
-            if text[i] in " \n" and text[i - 1].isalnum():
+            if text[i] in " \n" and not text[i - 1].isspace():
                 return i
         if end == high:
             return high
         reach *= 2
 
 
-def encode_tree(text: str, encode: Encode, low: int = 0, high: int | None = None, leaf: int = LEAF) -> np.ndarray:
+def encode_tree(text: str, encode: Encode, low: int = 0, high: int | None = None, leaf: int = LEAF) -> array:
     """Tokens of ``text[low:high]``."""
     high = len(text) if high is None else high
     if high - low <= leaf:
-        return encode(text[low:high])
+        return array("I", encode(text[low:high]))
     middle = (low + high) // 2
     left = encode_tree(text, encode, low, middle, leaf)
     right = encode_tree(text, encode, middle, high, leaf)
@@ -73,7 +75,7 @@ def encode_tree(text: str, encode: Encode, low: int = 0, high: int | None = None
     # What the window's two sides took on their own ends at the border, so it is counted off there.
     keep = len(left) - len(encode(text[a:middle]))
     skip = len(encode(text[middle:b]))
-    return np.concatenate([left[:keep], encode(text[a:b]), right[skip:]])
+    return left[:keep] + array("I", encode(text[a:b])) + right[skip:]
 
 
 def decode_tree(ids: Sequence[int], table: Sequence[bytes], low: int = 0, high: int | None = None) -> bytes:
@@ -108,10 +110,10 @@ class Tokenizer:
 
             encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=parse_ranks(content.value), special_tokens={})
             for texts in batches:
-                rows = [encode_tree(t.as_py() or "", encoding.encode_to_numpy, leaf=leaf) for t in texts]
+                rows = [encode_tree(t.as_py() or "", encoding.encode_ordinary, leaf=leaf) for t in texts]
                 ends = np.cumsum([0] + [len(r) for r in rows])
-                tokens = np.concatenate(rows) if rows else np.empty(0)
-                yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(tokens.astype(np.uint32).view(np.int32)))
+                tokens = np.frombuffer(b"".join(rows), np.int32)
+                yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(tokens))
 
         return bpe_encode(text)
 

@@ -35,6 +35,29 @@ def test_border_shapes(plain):
             assert encode_tree(text, plain.encode_to_numpy, leaf=leaf).tolist() == plain.encode_ordinary(text)
 
 
+def test_joins_decide_tokens(plain):
+    text = "The quick brown fox jumped over extraordinarily lazy hounds, didn't it?! " * 60
+    seen = []
+
+    def encode(part):
+        seen.append(len(part))
+        return plain.encode_ordinary(part)
+
+    whole = plain.encode_ordinary(text)
+    assert encode_tree(text, encode).tolist() == whole
+    assert max(seen) <= 100 and len(seen) > 4 * len(text) // 128
+    leaves = [t for i in range(0, len(text), 64) for t in plain.encode_ordinary(text[i : i + 64])]
+    assert leaves != whole
+
+
+def test_white_space_of_any_kind_before_a_cut(plain):
+    kinds = [" ", "\n", "\t", "\x0b", "\x1c", "\x85", "\xa0", "\u2028", "\u3000", "!", "a", "'s", "1", "\u200b", "\u180e"]
+    rng = random.Random(4)
+    for _ in range(400):
+        text = "".join(rng.choice(kinds) for _ in range(rng.randint(2, 90)))
+        assert encode_tree(text, plain.encode_ordinary, leaf=2).tolist() == plain.encode_ordinary(text), repr(text)
+
+
 def test_decode_tree():
     table = [bytes([i]) * (i % 3 + 1) for i in range(256)]
     ids = [i * 7 % 256 for i in range(20_000)]
