@@ -7,11 +7,14 @@ headers are then updated with the headers a 304 may update, all others stay as s
 
 The join is no window over a URL. Records are sorted by URL and time over all partitions, so a URL
 with a third of all rows is spread over many tasks; each partition looks back by itself, and the last
-response of every partition, one row each, is carried on to the partitions after it.
+response of every partition, one row each, is carried on to the partitions after it. Spark broadcasts
+these rows where their written size is within the session's threshold, and else shuffles them to the
+revisits of their partition.
 
 Records without a canonical URL, or a time, resolve to nothing. Ties in time are ordered by record id, and
 a response with the revisit's own time counts as earlier if its id is smaller. A null header map is
-empty, a null validator agrees with nothing. Repeated rows are records of their own.
+empty, a null validator agrees with nothing. Repeated rows are records of their own. Without
+records there are no rows.
 """
 
 from __future__ import annotations
@@ -87,7 +90,8 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     # One row for each partition: what the partitions before it left of its first URL.
     carried = firsts.join(lasts, "_part", "left").withColumn("_last", F.last("_last", ignorenulls=True).over(before))
     carried = carried.filter(F.col("_last.url_key") == F.col("_first")).select("_part", F.col("_first").alias("url_key"), F.col("_last._r").alias("_carried"))
-    found = inside.join(F.broadcast(carried), ["_part", "url_key"], "left").withColumn("_r", F.coalesce("_seen", "_carried"))
+    # Headers have any length: written first, the table has a size by which Spark chooses how to join it.
+    found = inside.join(stage(carried), ["_part", "url_key"], "left").withColumn("_r", F.coalesce("_seen", "_carried"))
 
     good = validated(F.col("headers"), F.col("_r.headers"))
     state = F.when(F.col("_r").isNull(), MISSING).when(good, RESOLVED).otherwise(CHANGED)
