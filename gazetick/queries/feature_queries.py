@@ -9,6 +9,7 @@ from gazetick.functions.text import STOPWORDS, avg_word_length, char_count, clea
 from gazetick.operators import models as M
 from gazetick.operators import textfeatures as T
 from gazetick.operators.annotate import embed_text, zip_embeddings
+from gazetick.operators.cooccur import token_embedding as embed_tokens
 from gazetick.operators.svm import linear_svm as fit_svm
 from gazetick.operators.svm import svm_scores
 from gazetick.queries import sqltext as S
@@ -299,7 +300,7 @@ def token_rows(spark, sf):
 
 @query("token_embedding")
 def token_embedding(spark, sf):
-    vectors = M.token_embedding(token_rows(spark, sf), "tokens", VECTOR_SIZE)
+    vectors = embed_tokens(token_rows(spark, sf), "tokens", VECTOR_SIZE)
     return vectors.select("word", vector_to_array("vector").alias("vector"))
 
 
@@ -307,7 +308,7 @@ def token_embedding(spark, sf):
 def token_classifier(spark, sf):
     """Quality of all documents from pooled token vectors, learned from the labelled ones."""
     docs = token_rows(spark, sf)
-    vectors = stage(M.token_embedding(docs, "tokens", VECTOR_SIZE))
+    vectors = stage(embed_tokens(docs, "tokens", VECTOR_SIZE))
     features = M.token_features(docs, "doc_id", "tokens", vectors, VECTOR_SIZE)
     model = M.token_classifier(features.filter("y is not null"))
     return M.predict(model, features).select("doc_id", "y", "prediction")

@@ -12,6 +12,7 @@ from gazetick.operators import bars as B
 from gazetick.operators import cluster as C
 from gazetick.operators import models as M
 from gazetick.operators import profile as P
+from gazetick.operators.cooccur import token_embedding as embed_tokens
 
 SF = "/root/testdata/sf0.001"
 
@@ -148,7 +149,7 @@ def test_token_vectors_tell_contexts_apart(spark):
     rng = random.Random(3)
     topics = [["red", "green", "blue", "grey"], ["one", "two", "six", "ten"]]
     docs = spark.createDataFrame([(i, [rng.choice(topics[i % 2]) for _ in range(30)]) for i in range(400)], "doc_id long, tokens array<string>")
-    vectors = M.token_embedding(docs, "tokens", 16, parts=1)
+    vectors = embed_tokens(docs, "tokens", 16)
     v = {r.word: r.vector.toArray() / np.linalg.norm(r.vector.toArray()) for r in vectors.collect()}
     inside = np.mean([v[a] @ v[b] for t in topics for a in t for b in t if a != b])
     assert inside > np.mean([v[a] @ v[b] for a in topics[0] for b in topics[1]]) + 0.1
