@@ -2,6 +2,7 @@
 
 import pyspark.sql.functions as F
 
+from gazetick.operators import textfeatures as T
 from gazetick.plans import lookup
 from gazetick.session import stage
 
@@ -18,3 +19,13 @@ def test_large_lookup_tables_are_not_broadcast(spark, monkeypatch):
         joined = lookup.lookup_join(rows, table, ["k"], F.col("id"), "left")
         assert ("BroadcastExchange" in plan(joined)) == broadcast
         assert sorted((r.id, r.v) for r in joined.collect() if r.v is not None) == [(i, i % 60) for i in range(300) if i % 60 < 50]
+
+
+def test_vocabulary_sorts_no_occurrence(spark):
+    rows = [(7, "b a b"), (-3, "c a"), (7, "d b"), (2**62, "e e"), (5, None), (6, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    made = T.build_vocab(docs, "doc_id", F.split("text", " "), 1)
+    # First by id, then by place; the two rows of id 7 are one document, "b" before "d" is a tie that either may win.
+    found = {r.token: r.id for r in made.collect()}
+    assert found["c"] == 2 and found["a"] == 3 and found[""] == 4 and {found["b"], found["d"]} == {5, 6} and found["e"] == 7
+    assert "SortAggregate" not in plan(made)
