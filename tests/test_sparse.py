@@ -85,3 +85,18 @@ def test_dense_blocks_are_bounded(monkeypatch):
         for a, (terms, b) in zip(ends, blocks):
             whole[a : a + len(b), terms] = b
         assert (whole == x).all() and len(blocks) <= {5: 50, 100: 25, 1 << 22: 1}[most]
+
+
+def test_a_run_goes_on_in_the_next_batch(spark):
+    """A document whose weights are cut by the end of a batch is still one row."""
+    entries = [(d, t, float(d + t)) for d in range(6) for t in (4, 0, 9)]
+    side = spark.createDataFrame(entries, "id long, idx int, val double").coalesce(1)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        for rows in ("1", "4"):
+            spark.conf.set(name, rows)
+            found = T.packed_runs(side, "id").collect()
+            assert sorted((r.id, r.idx, r.val) for r in found) == [(d, [0, 4, 9], [d + 0.0, d + 4.0, d + 9.0]) for d in range(6)]
+    finally:
+        spark.conf.set(name, before)
